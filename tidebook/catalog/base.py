@@ -4,48 +4,45 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidebook.catalog.oracle import CTES
 from tidebook.operators.staging import Staged
 from tidebook.plans.warehouse import Warehouse
-from tidebook.sources import bindings, flatten
+from tidebook.sources import bindings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+class Once(dict):
+    """A dict that builds a missing entry on first use."""
+
+    def __init__(self, build: Callable[[str], DataFrame]):
+        super().__init__()
+        self._build = build
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._build(name)
+        return self[name]
+
+
 class Bound:
     """The base tables of one scale factor as raw, staged and mart frames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.raw = Once(lambda name: bindings.RAW[name](spark, sf_dir))
+        self.staged = Staged.from_raw(self.raw)
+        self.wh = Warehouse(self.staged)
+
+    def raw_all(self) -> dict[str, DataFrame]:
+        return {name: self.raw[name] for name in bindings.RAW}
 
     def table(self, name: str) -> DataFrame:
         return bindings.table(self.spark, self.sf_dir, name)
 
-    @cached_property
-    def raw(self) -> dict[str, DataFrame]:
-        s, d = self.spark, self.sf_dir
-        return {
-            "customers": bindings.raw_customers(s, d),
-            "orders": bindings.raw_orders(s, d),
-            "subscriptions": bindings.raw_subscriptions(s, d),
-            "web_sessions": bindings.raw_web_sessions(s, d),
-            "marketing_spend": bindings.raw_marketing_spend(s, d),
-            "events": flatten(bindings.raw_events_nested(s, d), "properties"),
-        }
-
-    @cached_property
-    def staged(self) -> Staged:
-        return Staged.from_raw(self.raw)
-
-    @cached_property
-    def wh(self) -> Warehouse:
-        return Warehouse(self.staged)
-
 
 def with_ctes(body: str) -> str:
     """Prefix ``body`` with the shared table expressions it mentions."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidebook.catalog.base import Bound, add
-from tidebook.catalog.oracle import money, money_avg, rate_avg
+from tidebook.catalog.oracle import money, money_avg, rate_avg, ratio_avg
 from tidebook.catalog.relational import _CURVE_SQL, _RFM_SQL, _SLICE, _SLICE_SQL
 from tidebook.operators.slicing import pivot_explore, slice_customers, slice_orders
 from tidebook.plans import analysis as A
@@ -120,7 +120,7 @@ add(
 add(
     "d17_average_cac",
     lambda b: D.average_cac(b.wh.kpis("spend", "signups")),
-    f"SELECT {money_avg('CASE WHEN cac <> 0 THEN cac END')} AS avg_cac FROM kpi_monthly",
+    f"SELECT {ratio_avg('CASE WHEN cac <> 0 THEN cac END')} AS avg_cac FROM kpi_monthly",
 )
 add(
     "d18_revenue_mrr_trend",

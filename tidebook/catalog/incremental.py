@@ -63,7 +63,7 @@ def drifted(b: Bound) -> DataFrame:
 def reused(b: Bound) -> DataFrame:
     """Marts from tables landed earlier, without the extracts."""
     root = scratch_path(b.spark, "landed")
-    for name, df in b.raw.items():
+    for name, df in b.raw_all().items():
         replace_table(df, f"{root}/{name}")
     landed = {name: b.spark.read.parquet(f"{root}/{name}") for name in b.raw}
     return Warehouse(Staged.from_raw(landed)).kpi_monthly

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidebook.catalog.base import Bound, add
-from tidebook.catalog.oracle import money, rate_avg
+from tidebook.catalog.oracle import money, rate_avg, ratio_avg
 from tidebook.plans.measures import measure
 
 
@@ -58,7 +58,7 @@ add(
 add(
     "b07_ltv_measures",
     of(["ltv", "ltv_to_cac", "ltv_cac_status"], "kpi_monthly"),
-    f"""WITH m AS (SELECT {money("ltv")} / count(ltv) AS ltv,
+    f"""WITH m AS (SELECT {ratio_avg("ltv")} AS ltv,
     {money("marketing_spend")} / sum(new_customers) AS cac FROM kpi_monthly)
 SELECT ltv, ltv / cac AS ltv_to_cac, CASE WHEN ltv / cac < 2 THEN 'Unhealthy' WHEN ltv / cac < 3 THEN 'Watch' ELSE 'Healthy' END
     AS ltv_cac_status FROM m""",

@@ -12,6 +12,11 @@ def money_avg(expr: str) -> str:
     return f"({money(expr)} / nullif(count({expr}), 0))"
 
 
+def ratio_avg(expr: str) -> str:
+    """Mean of amounts that are themselves quotients, in whole 1e-4 steps."""
+    return f"(CAST(SUM(CAST(({expr}) * 1e4 AS BIGINT)) AS DOUBLE) / 1e4 / nullif(count({expr}), 0))"
+
+
 def rate_avg(expr: str) -> str:
     """Mean of small-table rates, summed as whole 1e-12 steps."""
     return f"(CAST(SUM(CAST(({expr}) * 1e12 AS BIGINT)) AS DOUBLE) / 1e12 / nullif(count({expr}), 0))"
@@ -271,5 +276,5 @@ FROM (
         CAST(datediff('month', c.signup_date, e.event_date) AS INTEGER) AS gap
     FROM kept, stg_customers c, stg_events e
     WHERE month = date_trunc('month', c.signup_date) AND e.customer_id = c.customer_id)
-WHERE gap >= 0 AND gap <= 12 GROUP BY ALL
+WHERE gap >= 0 AND gap <= 12 GROUP BY cohort_month, gap, cohort_size
 """

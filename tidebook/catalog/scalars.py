@@ -197,6 +197,6 @@ add(
 add(
     "fn28_fill_and_period",
     orders(lambda: dict(filled=F.coalesce(_sometimes(), F.lit(0.0)), period=month_start(_day()), inside=_day().between("1996-01-01", "1997-12-31"))),
-    """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 200000.0 ELSE 0.0 END AS filled,
+    """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 200000.0::DOUBLE ELSE 0 END AS filled,
     CAST(date_trunc('month', o_orderdate) AS DATE) AS period, year(o_orderdate) IN (1996, 1997) AS inside FROM orders""",
 )

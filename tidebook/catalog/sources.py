@@ -29,6 +29,9 @@ RAW_ORDER_COLUMNS = "order_id, customer_id, order_ts, gross_amount, discount_pct
 RAW_EVENTS = """SELECT event_id, customer_id, event_type, event_ts, platform, app_version, session_len_sec, feature
 FROM stg_events"""
 
+# JSON text keeps milliseconds unless told otherwise.
+MICROS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def csv_source(b: Bound) -> DataFrame:
     path = scratch_path(b.spark, "orders-csv")
@@ -46,7 +49,7 @@ def json_array_source(b: Bound) -> DataFrame:
     """Each partition becomes a file that holds one JSON array."""
     path = scratch_path(b.spark, "events-array")
     rows = bindings.raw_events_nested(b.spark, b.sf_dir)
-    text = rows.select(F.to_json(F.struct(*rows.columns)).alias("j"), (F.col("event_id") / 5000).cast("bigint").alias("f"))
+    text = rows.select(F.to_json(F.struct(*rows.columns), MICROS).alias("j"), (F.col("event_id") / 5000).cast("bigint").alias("f"))
     arrays = text.groupBy("f").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value"))
     arrays.select("value").repartition(8).write.option("lineSep", " ").text(path)
     return flatten(read_json_array(b.spark, path, EVENTS_NESTED), "properties")
@@ -54,7 +57,7 @@ def json_array_source(b: Bound) -> DataFrame:
 
 def json_lines_source(b: Bound) -> DataFrame:
     path = scratch_path(b.spark, "events-lines")
-    bindings.raw_events_nested(b.spark, b.sf_dir).write.json(path)
+    bindings.raw_events_nested(b.spark, b.sf_dir).write.options(**MICROS).json(path)
     return flatten(read_json_lines(b.spark, path, EVENTS_NESTED), "properties")
 
 
@@ -82,7 +85,7 @@ def replace_load(b: Bound) -> DataFrame:
 
 def load_counts(b: Bound) -> DataFrame:
     root = scratch_path(b.spark, "landed")
-    counts = [(name, replace_table(df, f"{root}/{name}")) for name, df in b.raw.items()]
+    counts = [(name, replace_table(df, f"{root}/{name}")) for name, df in b.raw_all().items()]
     counts.append(("total", sum(n for _, n in counts)))
     return b.spark.createDataFrame(counts, "table_name string, row_count bigint")
 
@@ -137,7 +140,7 @@ def table_scan(b: Bound) -> DataFrame:
 
 
 def adhoc_sql(b: Bound) -> DataFrame:
-    b.wh.register_views(b.spark, ["customer_segments"])
+    b.wh.register_views(["customer_segments"])
     return b.spark.sql(
         "SELECT value_tier, count(*) AS customers, CAST(sum(CAST(lifetime_revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue "
         "FROM customer_segments GROUP BY value_tier ORDER BY revenue DESC"

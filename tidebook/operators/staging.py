@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -128,35 +128,50 @@ def stg_events(raw: DataFrame) -> DataFrame:
     )
 
 
-@dataclass
+STAGING = {
+    "customers": stg_customers,
+    "orders": stg_orders,
+    "subscriptions": stg_subscriptions,
+    "web_sessions": stg_web_sessions,
+    "marketing_spend": stg_marketing_spend,
+    "events": stg_events,
+}
+
+
 class Staged:
-    """The six staged frames; the input of every mart."""
+    """The six staged frames, the input of every mart. Each is built when first used."""
 
-    customers: DataFrame
-    orders: DataFrame
-    subscriptions: DataFrame
-    web_sessions: DataFrame
-    marketing_spend: DataFrame
-    events: DataFrame
+    def __init__(self, frame_of: Callable[[str], DataFrame]):
+        self._frame_of = frame_of
 
     @classmethod
-    def from_raw(cls, raw: dict[str, DataFrame]) -> Staged:
-        return cls(
-            customers=stg_customers(raw["customers"]),
-            orders=stg_orders(raw["orders"]),
-            subscriptions=stg_subscriptions(raw["subscriptions"]),
-            web_sessions=stg_web_sessions(raw["web_sessions"]),
-            marketing_spend=stg_marketing_spend(raw["marketing_spend"]),
-            events=stg_events(raw["events"]),
-        )
+    def from_raw(cls, raw: Mapping[str, DataFrame]) -> Staged:
+        return cls(lambda name: STAGING[name](raw[name]))
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self._frame_of("customers")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._frame_of("orders")
+
+    @cached_property
+    def subscriptions(self) -> DataFrame:
+        return self._frame_of("subscriptions")
+
+    @cached_property
+    def web_sessions(self) -> DataFrame:
+        return self._frame_of("web_sessions")
+
+    @cached_property
+    def marketing_spend(self) -> DataFrame:
+        return self._frame_of("marketing_spend")
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return self._frame_of("events")
 
     @cached_property
     def by_name(self) -> dict[str, DataFrame]:
-        return {
-            "stg_customers": self.customers,
-            "stg_orders": self.orders,
-            "stg_subscriptions": self.subscriptions,
-            "stg_web_sessions": self.web_sessions,
-            "stg_marketing_spend": self.marketing_spend,
-            "stg_events": self.events,
-        }
+        return {f"stg_{name}": getattr(self, name) for name in STAGING}

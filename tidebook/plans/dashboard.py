@@ -69,7 +69,7 @@ def tier_economics(segments: DataFrame) -> DataFrame:
             "customers",
             ratio_or_null(F.col("customers"), F.sum("customers").over(everyone)).alias("cust_share"),
             from_units(F.col("units")).alias("revenue"),
-            ratio_or_null(F.col("units"), F.sum("units").over(everyone)).alias("rev_share"),
+            ratio_or_null(from_units(F.col("units")), from_units(F.sum("units").over(everyone))).alias("rev_share"),
             ratio_or_null(from_units(F.col("units")), F.col("customers")).alias("avg_ltv"),
             ordinal(TIER_ORDER, F.col("value_tier")).alias("display_order"),
         )
@@ -254,6 +254,6 @@ def high_value_audit(orders: DataFrame, customers: DataFrame) -> DataFrame:
     return joined.select(
         F.coalesce(from_units(F.col("top")), F.lit(0.0)).alias("high_value_revenue"),
         F.coalesce(from_units(F.col("total")), F.lit(0.0)).alias("total_revenue"),
-        F.coalesce(ratio_or_null(F.col("top"), F.col("total")), F.lit(0.0)).alias("revenue_share"),
+        F.coalesce(ratio_or_null(from_units(F.col("top")), from_units(F.col("total"))), F.lit(0.0)).alias("revenue_share"),
         ratio_or_null(F.col("top_customers"), F.col("customers")).alias("customer_share"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -337,50 +337,56 @@ def kpi_monthly(
     if "retention" in groups:
         rolled = rolled.crossJoin(F.broadcast(events.agg(F.max("event_date").alias("last_event"))))  # one row
 
-    arpa = ratio_or_zero(_revenue_or_null(), F.col("active_customers"))
-    churn = ratio_or_zero(F.coalesce("churned_customers", F.lit(0)), F.col("active_at_start"))
-    has_churn = (F.col("active_customers") > 0) & (F.col("active_at_start") > 0) & (F.col("churned_customers") > 0)
-    settled_orders = F.col("completed_orders") + F.col("refunded_orders")
-    columns: list[tuple[set[str], Column]] = [
-        (set(), F.col("month")),
-        (set(), F.year("month").alias("year")),
-        (set(), month_label(F.col("month")).alias("month_label")),
-        ({"revenue"}, F.coalesce(_revenue_or_null(), F.lit(0.0)).alias("recognized_revenue")),
-        ({"revenue"}, _counted("completed_orders")),
-        ({"revenue"}, _counted("refunded_orders")),
-        ({"revenue"}, ratio_or_zero(F.col("refunded_orders"), settled_orders).alias("refund_rate")),
-        ({"revenue"}, _average_order()),
-        ({"signups"}, _counted("new_customers")),
-        ({"subscriptions"}, from_units(F.col("mrr_units")).alias("active_mrr")),
-        ({"subscriptions"}, F.col("active_customers")),
-        ({"revenue", "subscriptions"}, arpa.alias("arpa")),
-        ({"subscriptions"}, _counted("churned_customers")),
-        ({"subscriptions"}, F.col("active_at_start")),
-        ({"subscriptions"}, churn.alias("churn_rate")),
-        ({"spend"}, F.coalesce(from_units(F.col("spend_units")), F.lit(0.0)).alias("marketing_spend")),
+    def arpa() -> Column:
+        return ratio_or_zero(_revenue_or_null(), F.col("active_customers"))
+
+    def churn() -> Column:
+        return ratio_or_zero(F.coalesce("churned_customers", F.lit(0)), F.col("active_at_start"))
+
+    def ltv() -> Column:
+        known = [F.col(c) > 0 for c in ("active_customers", "active_at_start", "churned_customers")]
+        return F.when(known[0] & known[1] & known[2], F.try_divide(arpa(), churn())).otherwise(F.lit(0.0))
+
+    def refunds() -> Column:
+        return ratio_or_zero(F.col("refunded_orders"), F.col("completed_orders") + F.col("refunded_orders"))
+
+    def mature() -> Column:
+        return F.coalesce(F.date_add("last_signup", 60) <= F.col("last_event"), F.lit(False))
+
+    paid = lambda: from_units(F.col("spend_units"))
+    # (groups needed, column name, how to make it), in output order.
+    columns: list[tuple[str, str, Callable[[], Column]]] = [
+        ("", "month", lambda: F.col("month")),
+        ("", "year", lambda: F.year("month")),
+        ("", "month_label", lambda: month_label(F.col("month"))),
+        ("revenue", "recognized_revenue", lambda: F.coalesce(_revenue_or_null(), F.lit(0.0))),
+        ("revenue", "completed_orders", lambda: _counted("completed_orders")),
+        ("revenue", "refunded_orders", lambda: _counted("refunded_orders")),
+        ("revenue", "refund_rate", refunds),
+        ("revenue", "avg_order_value", _average_order),
+        ("signups", "new_customers", lambda: _counted("new_customers")),
+        ("subscriptions", "active_mrr", lambda: from_units(F.col("mrr_units"))),
+        ("subscriptions", "active_customers", lambda: F.col("active_customers")),
+        ("revenue subscriptions", "arpa", arpa),
+        ("subscriptions", "churned_customers", lambda: _counted("churned_customers")),
+        ("subscriptions", "active_at_start", lambda: F.col("active_at_start")),
+        ("subscriptions", "churn_rate", churn),
+        ("spend", "marketing_spend", lambda: F.coalesce(paid(), F.lit(0.0))),
+        ("spend signups", "cac", lambda: ratio_or_zero(paid(), F.col("new_customers"))),
+        ("revenue subscriptions", "ltv", ltv),
+        ("sessions", "sessions", lambda: _counted("sessions")),
+        ("sessions", "conversions", lambda: _counted("conversions")),
+        ("sessions", "conversion_rate", lambda: ratio_or_zero(F.col("conversions"), F.col("sessions"))),
+        ("retention", "cohort_size", lambda: _counted("cohort_size")),
+        ("retention", "retained_30d", lambda: _counted("retained_30d")),
+        ("retention", "cohort_is_mature", mature),
         (
-            {"spend", "signups"},
-            ratio_or_zero(from_units(F.col("spend_units")), F.col("new_customers")).alias("cac"),
-        ),
-        (
-            {"revenue", "subscriptions"},
-            F.when(has_churn, F.try_divide(arpa, churn)).otherwise(F.lit(0.0)).alias("ltv"),
-        ),
-        ({"sessions"}, _counted("sessions")),
-        ({"sessions"}, _counted("conversions")),
-        ({"sessions"}, ratio_or_zero(F.col("conversions"), F.col("sessions")).alias("conversion_rate")),
-        ({"retention"}, _counted("cohort_size")),
-        ({"retention"}, _counted("retained_30d")),
-        (
-            {"retention"},
-            F.coalesce(F.date_add("last_signup", 60) <= F.col("last_event"), F.lit(False)).alias("cohort_is_mature"),
-        ),
-        (
-            {"retention"},
-            ratio_or_zero(F.coalesce("retained_30d", F.lit(0)), F.col("cohort_size")).alias("retention_30d"),
+            "retention",
+            "retention_30d",
+            lambda: ratio_or_zero(F.coalesce("retained_30d", F.lit(0)), F.col("cohort_size")),
         ),
     ]
-    return rolled.select(*[c for needs, c in columns if needs <= groups])
+    return rolled.select(*[make().alias(name) for needs, name, make in columns if groups.issuperset(needs.split())])
 
 
 # --- segments -----------------------------------------------------------------

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from tidebook.operators.calendar import dim_date
 from tidebook.operators.quality import Expect, require_passing, run_checks
 from tidebook.operators.retention import cohort_retention
-from tidebook.operators.staging import Staged
+from tidebook.operators.staging import STAGING, Staged
 from tidebook.plans import marts
 from tidebook.session import settle
 from tidebook.sources.sinks import export
@@ -166,19 +166,20 @@ class Warehouse:
     def marts(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in MART_NAMES}
 
-    def register_views(self, spark: SparkSession, names: Iterable[str] | None = None) -> None:
+    def register_views(self, names: Iterable[str] | None = None) -> None:
         """Make staging and mart frames available to SQL text."""
-        everything = {**self.staged.by_name, **{n: None for n in MART_NAMES}}
-        for name in everything if names is None else names:
-            frame = everything[name]
-            (getattr(self, name) if frame is None else frame).createOrReplaceTempView(name)
+        for name in (*(f"stg_{n}" for n in STAGING), *MART_NAMES) if names is None else names:
+            staged = name.removeprefix("stg_")
+            frame = getattr(self.staged, staged) if staged in STAGING else getattr(self, name)
+            frame.createOrReplaceTempView(name)
 
     def settled(self) -> Warehouse:
         """Staging and marts written once; every later query scans the files.
 
         Staged frames come first, so each extract is parsed once for all marts.
         """
-        done = Warehouse(Staged(**{k: settle(v, k) for k, v in vars(self.staged).items() if k != "by_name"}))
+        written = {name: settle(getattr(self.staged, name), name) for name in STAGING}
+        done = Warehouse(Staged(written.__getitem__))
         for name in MART_NAMES:
             # Assigning shadows the lazy property of the same name.
             done.__dict__[name] = settle(getattr(done, name), name)

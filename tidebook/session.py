@@ -17,7 +17,9 @@ RECOMMENDED = {
     # also when an aggregate on the same key follows.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Building a plan makes hundreds of column calls; recording the Python call site
+    # of each costs more than a small query takes to run.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

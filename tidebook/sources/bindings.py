@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.functions import month_gap, month_start
+from tidebook.sources.readers import flatten
 
 # Fixed values of the data domain.
 CHANNELS = ["Paid Search", "Paid Social", "Organic", "Referral", "Email", "Affiliate", "Direct"]
@@ -31,8 +32,27 @@ FIRST_DAY = "1995-01-01"
 DAY_SPAN = 2404
 
 
+# The base tables' columns. Stating them saves a footer-reading job per table.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _at(values: list[str], index: Column) -> Column:
@@ -177,6 +197,10 @@ def raw_events_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatten(raw_events_nested(spark, sf_dir), "properties")
+
+
 def raw_marketing_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Exact products of two-decimal numbers, summed as whole units.
     units = F.rint(F.col("l_extendedprice") * 100).cast("bigint") * F.rint(F.col("l_discount") * 100).cast("bigint")
@@ -206,3 +230,13 @@ def raw_marketing_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("clicks").alias("clicks"),
         )
     )
+
+
+RAW = {
+    "customers": raw_customers,
+    "orders": raw_orders,
+    "subscriptions": raw_subscriptions,
+    "web_sessions": raw_web_sessions,
+    "marketing_spend": raw_marketing_spend,
+    "events": raw_events,
+}
