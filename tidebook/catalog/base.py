@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,13 +29,20 @@ class Once(dict):
         return self[name]
 
 
+@lru_cache(maxsize=4)
+def bound_inputs(spark: SparkSession, sf_dir: str) -> tuple[Once, Staged]:
+    """Raw and staged frames of a scale factor. These are definitions: no data is kept,
+    and every query still reads the base tables itself."""
+    raw = Once(lambda name: bindings.RAW[name](spark, sf_dir))
+    return raw, Staged.from_raw(raw)
+
+
 class Bound:
     """The base tables of one scale factor as raw, staged and mart frames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
-        self.raw = Once(lambda name: bindings.RAW[name](spark, sf_dir))
-        self.staged = Staged.from_raw(self.raw)
+        self.raw, self.staged = bound_inputs(spark, sf_dir)
         self.wh = Warehouse(self.staged)
 
     def raw_all(self) -> dict[str, DataFrame]:

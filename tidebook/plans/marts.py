@@ -19,11 +19,10 @@ from tidebook.functions import (
     ratio_or_null,
     ratio_or_zero,
 )
-from tidebook.operators.calendar import date_bounds, day_spine, month_spine
 from tidebook.operators.intervals import usable_interval
 from tidebook.operators.ranking import ROWS_PER_RANGE, Ordering, distributed_ntile
 from tidebook.operators.retention import retention_feeds
-from tidebook.plans.rollup import SPINE, roll_up, stack
+from tidebook.plans.rollup import HAS_ORDER, HAS_SESSION, lay_spine, mark, roll_up, stack
 from tidebook.session import settle_counted
 
 CUSTOMER_ATTRIBUTES = ("region", "plan", "segment_band", "acquisition_channel")
@@ -189,6 +188,10 @@ def _order_metrics() -> list[Column]:
     ]
 
 
+def _session_metrics() -> list[Column]:
+    return [_one().alias("sessions"), F.col("converted").cast("bigint").alias("conversions")]
+
+
 def _counted(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0).cast("bigint")).alias(name)
 
@@ -204,20 +207,18 @@ def _revenue_or_null() -> Column:
 
 def kpi_daily(orders: DataFrame, customers: DataFrame, sessions: DataFrame, events: DataFrame) -> DataFrame:
     """One row per calendar day. Calendar fields are functions of the day itself, so
-    the spine needs no join back to the date dimension."""
-    spine = day_spine(date_bounds(orders, sessions))
+    the days need no join back to the date dimension."""
     feeds = [
-        orders.select(F.col("order_date").alias("date_key"), F.col("customer_id").alias("_buyer"), *_order_metrics()),
-        customers.select(F.col("signup_date").alias("date_key"), _one().alias("new_customers")),
-        sessions.select(
-            F.col("session_date").alias("date_key"),
-            _one().alias("sessions"),
-            F.col("converted").cast("bigint").alias("conversions"),
+        orders.select(
+            F.col("order_date").alias("date_key"), mark(HAS_ORDER), F.col("customer_id").alias("_buyer"), *_order_metrics()
         ),
+        customers.select(F.col("signup_date").alias("date_key"), _one().alias("new_customers")),
+        sessions.select(F.col("session_date").alias("date_key"), mark(HAS_SESSION), *_session_metrics()),
         events.select(F.col("event_date").alias("date_key"), _one().alias("product_events")),
     ]
     buyers = F.countDistinct("_buyer").alias("ordering_customers")
-    rolled = roll_up(spine, feeds, "date_key", extra=[buyers]).where(SPINE)
+    either = F.col(HAS_ORDER) | F.col(HAS_SESSION)
+    rolled = lay_spine(roll_up(feeds, "date_key", extra=[buyers]), "date_key", "day", either, either)
     fields = {f"c{i}": c for i, c in enumerate(calendar_columns(F.col("date_key")))}
     year, quarter, month_name, day_name, weekend = (fields[f"c{i}"] for i in (1, 2, 4, 8, 9))
     return rolled.select(
@@ -286,56 +287,53 @@ KPI_GROUPS = ("revenue", "signups", "subscriptions", "spend", "sessions", "reten
 
 def kpi_monthly(
     orders: DataFrame,
-    customers: DataFrame,
-    subscriptions: DataFrame,
-    spend: DataFrame,
+    customers: DataFrame | None,
+    subscriptions: DataFrame | None,
+    spend: DataFrame | None,
     sessions: DataFrame,
-    events: DataFrame,
+    events: DataFrame | None,
     groups: Iterable[str] = KPI_GROUPS,
 ) -> DataFrame:
     """The executive table: one row per month of the date range.
 
     Feeds of ``groups`` not asked for are left out of the plan, and so are the
-    columns that need them.
+    columns that need them; their inputs may be None.
     """
     groups = set(groups)
-    spine = month_spine(date_bounds(orders, sessions))
-    one = _one()
-    feeds: list[DataFrame] = []
-    if "revenue" in groups:
-        feeds.append(orders.select(F.col("order_month").alias("month"), *_order_metrics()))
+    # Orders and sessions always take part: their dates span the calendar.
+    order_month, session_month = F.col("order_month").alias("month"), F.col("session_month").alias("month")
+    feeds = [
+        orders.select(order_month, mark(HAS_ORDER), *(_order_metrics() if "revenue" in groups else [])),
+        sessions.select(session_month, mark(HAS_SESSION), *(_session_metrics() if "sessions" in groups else [])),
+    ]
+    running, overall = {}, []
     if "signups" in groups:
-        month = month_start(F.col("signup_date")).alias("month")
-        feeds.append(customers.select(month, one.alias("new_customers")))
+        feeds.append(
+            customers.select(month_start(F.col("signup_date")).alias("month"), _one().alias("new_customers"))
+        )
     if "subscriptions" in groups:
         feeds.append(subscription_feed(subscriptions))
+        running = {
+            "at_start_change": "active_at_start",
+            "active_change": "active_customers",
+            "mrr_change": "mrr_units",
+        }
     if "spend" in groups:
         feeds.append(spend.select(F.col("spend_month").alias("month"), exact_units(F.col("spend")).alias("spend_units")))
-    if "sessions" in groups:
-        feeds.append(
-            sessions.select(
-                F.col("session_month").alias("month"),
-                one.alias("sessions"),
-                F.col("converted").cast("bigint").alias("conversions"),
-            )
-        )
     if "retention" in groups:
         feeds.extend(retention_feeds(customers, events))
-
-    rolled = roll_up(spine, feeds, "month", latest=("last_signup",))
-    if "subscriptions" in groups:
-        # One row per month is left: a running total in one task is cheap, and it
-        # has to see months before the spine as well.
-        so_far = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
-        for change, level in (
-            ("at_start_change", "active_at_start"),
-            ("active_change", "active_customers"),
-            ("mrr_change", "mrr_units"),
-        ):
-            rolled = rolled.withColumn(level, F.coalesce(F.sum(change).over(so_far), F.lit(0).cast("bigint")))
-    rolled = rolled.where(SPINE)
-    if "retention" in groups:
-        rolled = rolled.crossJoin(F.broadcast(events.agg(F.max("event_date").alias("last_event"))))  # one row
+        no_month = F.lit(None).cast("date").alias("month")
+        feeds.append(events.select(no_month, F.col("event_date").alias("last_event")))
+        overall = ["last_event"]
+    rolled = lay_spine(
+        roll_up(feeds, "month", latest=("last_signup", "last_event")),
+        "month",
+        "month",
+        first=F.col(HAS_ORDER) | F.col(HAS_SESSION),
+        last=F.col(HAS_ORDER),
+        running=running,
+        overall_latest=overall,
+    )
 
     def arpa() -> Column:
         return ratio_or_zero(_revenue_or_null(), F.col("active_customers"))

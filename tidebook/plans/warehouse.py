@@ -143,15 +143,19 @@ class Warehouse:
 
     def kpis(self, *groups: str) -> DataFrame:
         """The monthly table, or only the given metric groups of it."""
-        s = self.staged
+        s, wanted = self.staged, set(groups or marts.KPI_GROUPS)
+
+        def when(needed_by: set[str], name: str) -> DataFrame | None:
+            return getattr(s, name) if wanted & needed_by else None
+
         return marts.kpi_monthly(
             s.orders,
-            s.customers,
-            s.subscriptions,
-            s.marketing_spend,
+            when({"signups", "retention"}, "customers"),
+            when({"subscriptions"}, "subscriptions"),
+            when({"spend"}, "marketing_spend"),
             s.web_sessions,
-            s.events,
-            groups or marts.KPI_GROUPS,
+            when({"retention"}, "events"),
+            wanted,
         )
 
     @cached_property
