@@ -102,8 +102,8 @@ add(
     ),
     """SELECT flagged_revenue AS priority_revenue, total_revenue AS total_segment_revenue,
     flagged_revenue / total_revenue AS priority_revenue_share, flagged_customers / total_customers AS priority_customer_share,
-    printf('%.0f%% of customers → %.0f%% of revenue', flagged_customers / total_customers * 100.0,
-        flagged_revenue / total_revenue * 100.0) AS priority_label FROM totals""",
+    CAST(round(flagged_customers / total_customers * 100) AS INTEGER) || '% of customers → '
+    || CAST(round(flagged_revenue / total_revenue * 100) AS INTEGER) || '% of revenue' AS priority_label FROM totals""",
 )
 add(
     "b12_revenue_target_measures",

@@ -192,7 +192,7 @@ add(
 add(
     "fn27_format_percent",
     over("customer", "c_custkey", lambda: dict(label=share_label((F.col("c_custkey") % 101) / 200 + 0.001))),
-    """SELECT c_custkey, printf('%.0f%%', ((c_custkey % 101) / 200 + 0.001) * 100.0) AS label FROM customer""",
+    """SELECT c_custkey, CAST(round(((c_custkey % 101) / 200 + 0.001) * 100.0) AS INTEGER) || '%' AS label FROM customer""",
 )
 add(
     "fn28_fill_and_period",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidebook.session import settle
+from tidebook.sources.sinks import write_parquet
 
 HIGH_WATER = "high_water"
 KEY_DIFF = "key_diff"
@@ -19,10 +20,10 @@ def new_rows(target: DataFrame, batch: DataFrame, key: str, ts: str, mode: str =
     ``key_diff`` takes rows whose key is new or whose values differ.
     """
     if mode == HIGH_WATER:
-        kind = batch.schema[ts].dataType
-        floor = F.lit("1900-01-01 00:00:00").cast(kind)
-        mark = target.agg(F.coalesce(F.max(ts).cast(kind), floor).alias("_mark"))  # one row
-        return batch.crossJoin(F.broadcast(mark)).where(F.col(ts) > F.col("_mark")).drop("_mark")
+        # One value, looked up first: as a literal it reaches the scan of the batch,
+        # below any join the batch was built with.
+        mark = target.agg(F.max(ts).cast("string")).first()[0] or "1900-01-01 00:00:00"
+        return batch.where(F.col(ts) > F.lit(mark).cast(batch.schema[ts].dataType))
     if mode == KEY_DIFF:
         if not set(batch.columns) <= set(target.columns):
             return batch  # every row gains a column, so all have to be applied
@@ -43,7 +44,7 @@ def apply_rows(target: DataFrame, new: DataFrame, key: str) -> DataFrame:
 def merge_new(
     target: DataFrame, batch: DataFrame, key: str = "order_id", ts: str = "order_ts", mode: str = HIGH_WATER
 ) -> DataFrame:
-    """The target after the load, as a query."""
+    """The target after the load, as a query (``high_water`` looks up its mark now)."""
     return apply_rows(target, new_rows(target, batch, key, ts, mode), key)
 
 
@@ -54,7 +55,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def full_refresh(fact: DataFrame, path: str, partition: str = "order_month") -> None:
     """Rebuild the stored fact from scratch."""
-    fact.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition).parquet(path)
+    write_parquet(fact, path, partition)
 
 
 def publish(
@@ -102,9 +103,4 @@ def publish(
         rest = target.where(~F.coalesce(touched, F.lit(False)))
         full_refresh(settle(rest.unionByName(rewritten), "rewritten"), path, partition)
         return
-    (
-        rewritten.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
+    write_parquet(rewritten, path, partition, replace="dynamic")

@@ -10,11 +10,23 @@ from pyspark.sql import functions as F
 FORMATS = ("csv", "parquet", "both")
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+def gathered(df: DataFrame, column: str) -> DataFrame:
+    """Bring the rows of a folder together before writing folders.
+
+    Otherwise every task writes a file into every folder. Unlike a plain repartition
+    a rebalance lets AQE split a folder with an outsized share of the rows and merge
+    small ones, so files come out near the advisory size.
+    """
+    return df.hint("rebalance", F.col(column))
+
+
+def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, replace: str = "static") -> None:
+    """Overwrite the table; ``replace="dynamic"`` overwrites only folders that get rows."""
+    if partition_by is None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        return
+    rows = gathered(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", replace)
+    rows.partitionBy(partition_by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
