@@ -1,22 +1,25 @@
 """Global rank, ntile and running sums without a one-partition window.
 
-A window without a partition key sends every row to one task. These operators cut
-the ordered key space into ranges instead:
-
-* a row's place is a struct ``(is_null, key, id)`` that orders like the query's
-  ORDER BY with NULLs last and ``id`` as tie-breaker. A key value shared by a
-  third of all rows therefore still splits, by id;
-* cut points come from a hash sample of the ids, a pure function of the data. They
-  decide only how even the ranges are, never the result;
-* per-range counts (and sums) give each range its offset.
+A window without a partition key sends every row to one task. Here
+
+* rows are ordered by ``(key, id)``, NULL keys last: a key value shared by a third of
+  all rows still splits, by id;
+* the rows at given ranks (tile ends, Pareto edges) are found by narrowing: a hash
+  sample suggests cuts just around each wanted rank, one pass counts the rows between
+  cuts, and only the intervals that hold a wanted rank go on. Samples decide how fast
+  this narrows, never the result;
+* tiles then follow from comparing each row with the tile ends: the rows themselves
+  are neither shuffled nor sorted;
+* ranks and running sums of all rows use Spark's range partitioning and per-range
+  offsets.
 
 ``df`` is read more than once: pass a table or a settled frame. The driver holds
-only cut points and per-range counts, at most ``MAX_RANGES`` values per ordering.
+counts per interval and bounded samples, nothing that grows with the data.
 """
 
 from __future__ import annotations
 
-import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -27,10 +30,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidebook.functions import exact_units, from_units
+from tidebook.session import settle
 
+#: Rows one task may sort.
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 4096
-SAMPLES_PER_RANGE = 16
+#: Sampled rows per interval and round.
+SAMPLE = 16_384
+#: Each round shrinks an interval about thirtyfold; more rounds than this are never needed.
+MAX_ROUNDS = 10
 
 
 @dataclass(frozen=True)
@@ -41,57 +49,111 @@ class Ordering:
     id: str = "customer_id"
     descending: bool = False
 
-    def place(self) -> Column:
+    def value(self) -> Column:
+        """The key, ascending. NULL becomes NaN, which sorts after every number."""
         value = F.col(self.key).cast("double")
-        if self.descending:
-            value = -value
-        return F.struct(
-            value.isNull().alias("is_null"),
-            F.coalesce(value, F.lit(0.0)).alias("key"),
-            F.col(self.id).alias("id"),
-        )
-
-
-def _range_count(rows: int, rows_per_range: int) -> int:
-    return max(1, min(MAX_RANGES, rows // rows_per_range))
-
-
-def place_literal(place, id_type: T.DataType) -> Column:
-    return F.struct(
-        F.lit(place["is_null"]).alias("is_null"),
-        F.lit(place["key"]).alias("key"),
-        F.lit(place["id"]).cast(id_type).alias("id"),
-    )
+        return F.coalesce(-value if self.descending else value, F.lit(math.nan))
 
-
-def _count_below(cuts: Sequence, place: Column, id_type: T.DataType) -> Column:
-    """How many of the sorted ``cuts`` lie before ``place``: a binary search."""
-    if not cuts:
-        return F.lit(0)
-    # One folded array literal, however many cuts there are.
-    schema = T.ArrayType(T.StructType.fromDDL("is_null boolean, key double").add("id", id_type))
-    table = F.from_json(F.lit(json.dumps([c.asDict() for c in cuts])), schema)
-    steps = [1 << b for b in reversed(range(len(cuts).bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda found, step: F.when(F.get(table, found + step - 1) < place, found + step).otherwise(found),
-    )
+    def after(self, place: Place, id_type: T.DataType, value: Column | None = None) -> Column:
+        """Whether a row comes later than ``place``."""
+        value, at = (self.value() if value is None else value), F.lit(place.value)
+        return (value > at) | ((value == at) & (F.col(self.id) > F.lit(place.id).cast(id_type)))
 
 
-def _sorted_cuts(df: DataFrame, orderings: Sequence[Ordering], rows: int, ranges: int) -> list[list]:
-    """Range boundaries of every ordering, from one hash sample of the ids."""
-    if ranges == 1:
-        return [[] for _ in orderings]
-    stride = max(1, rows // (ranges * SAMPLES_PER_RANGE))
-    sample = df.where(F.pmod(F.xxhash64(orderings[0].id), F.lit(stride)) == 0)
-    every = SAMPLES_PER_RANGE
-    chosen = [
-        F.filter(F.sort_array(F.collect_list(o.place())), lambda _, i: i % every == every - 1).alias(f"cuts{n}")
-        for n, o in enumerate(orderings)
-    ]
-    row = sample.agg(*chosen).first()
-    return [list(row[f"cuts{n}"] or []) for n in range(len(orderings))]
+@dataclass(frozen=True)
+class Place:
+    """Where a row stands in an ordering."""
+
+    value: float
+    id: object
+
+    def sort_key(self) -> tuple:
+        return (math.isnan(self.value), 0.0 if math.isnan(self.value) else self.value, self.id)
+
+
+class _Search:
+    """The hunt for the rows at some ranks of one ordering."""
+
+    def __init__(self, df: DataFrame, ordering: Ordering, ranks: Sequence[int], rows: int):
+        self.ordering = ordering
+        self.id_type = df.schema[ordering.id].dataType
+        self.rows_of = df.select(ordering.value().alias("_value"), F.col(ordering.id))
+        self.ranks = sorted(set(ranks))
+        self.cuts: list[Place] = []  # interval i lies after cuts[i - 1], up to and with cuts[i]
+        self.sizes = {0: rows}
+
+    def interval(self) -> Column:
+        """The interval a row falls into: how many cuts lie before it."""
+        steps = [self.ordering.after(c, self.id_type, F.col("_value")).cast("int") for c in self.cuts]
+        return reduce(lambda a, b: a + b, steps, F.lit(0))
+
+    def targets(self) -> dict[int, list[int]]:
+        """Interval -> wanted ranks inside it, counted from its own start."""
+        found: dict[int, list[int]] = {}
+        before, waiting = 0, list(self.ranks)
+        for i in range(len(self.cuts) + 1):
+            size = self.sizes.get(i, 0)
+            while waiting and waiting[0] <= before + size:
+                found.setdefault(i, []).append(waiting.pop(0) - before)
+            before += size
+        return found
+
+    def narrow(self, limit: int, turn: int) -> bool:
+        """One round of sampling and counting; False when it is time to sort what is left."""
+        wide = {i: r for i, r in self.targets().items() if self.sizes[i] > limit}
+        if not wide:
+            return False
+        tagged = self.rows_of.withColumn("_interval", self.interval())
+        # A new hash each round: a row left out once may be drawn the next time.
+        draw = F.xxhash64(F.col(self.ordering.id), F.lit(turn))
+        drawn = [
+            (F.col("_interval") == i) & (F.pmod(draw, F.lit(max(1, self.sizes[i] // SAMPLE))) == 0) for i in wide
+        ]
+        samples = (
+            tagged.where(reduce(or_, drawn))
+            .groupBy("_interval")
+            .agg(F.sort_array(F.collect_list(F.struct("_value", self.ordering.id))).alias("s"))
+            .collect()  # about SAMPLE rows per interval
+        )
+        cuts = {c.sort_key(): c for c in self.cuts}
+        for row in samples:
+            sample, size = row["s"], self.sizes[row["_interval"]]
+            for rank in wide[row["_interval"]]:
+                share = rank / size
+                middle = share * len(sample)
+                slack = 4 * math.sqrt(len(sample) * share * (1 - share)) + 2
+                for at in (math.floor(middle - slack), math.ceil(middle + slack)):
+                    if 0 <= at < len(sample):
+                        place = Place(sample[at][0], sample[at][1])
+                        cuts.setdefault(place.sort_key(), place)
+        if len(cuts) == len(self.cuts):
+            return False  # the sample cannot tell the wanted rank from its neighbours
+        self.cuts = [cuts[k] for k in sorted(cuts)]
+        counted = self.rows_of.groupBy(self.interval().alias("_interval")).agg(F.count(F.lit(1)).alias("n"))
+        self.sizes = {r["_interval"]: r["n"] for r in counted.collect()}  # a few per wanted rank
+        self._merge_idle()
+        return True
+
+    def _merge_idle(self) -> None:
+        """Forget cuts between intervals that hold no wanted rank."""
+        held = self.targets()
+        cuts, sizes, size = [], {}, 0
+        for i in range(len(self.cuts) + 1):
+            size += self.sizes.get(i, 0)
+            if i == len(self.cuts) or i in held or i + 1 in held:
+                sizes[len(cuts)] = size
+                size = 0
+                if i < len(self.cuts):
+                    cuts.append(self.cuts[i])
+        self.cuts, self.sizes = cuts, sizes
+
+    def rows_inside(self, which: int) -> DataFrame:
+        held = sorted(self.targets())
+        return (
+            self.rows_of.withColumn("_interval", self.interval())
+            .where(F.col("_interval").isin(held))
+            .select(F.lit(which).alias("_which"), "_interval", "_value", F.col(self.ordering.id).alias("_id"))
+        )
 
 
 def places_at(
@@ -99,54 +161,44 @@ def places_at(
     wanted: Sequence[tuple[Ordering, Sequence[int]]],
     rows: int | None = None,
     rows_per_range: int = ROWS_PER_RANGE,
-) -> list[list]:
-    """The places of the rows at the given 1-based ranks, exactly.
+) -> list[list[Place]]:
+    """The places of the rows at the given 1-based ranks (at most ``rows``), exactly.
 
-    Only the ranges that hold a wanted rank are sorted, a few percent of the rows;
-    the others are counted.
+    Each round keeps a few percent of the rows, so a billion rows take two rounds
+    before what is left can be sorted by one task per interval.
     """
     rows = df.count() if rows is None else rows
-    orderings = [o for o, _ in wanted]
-    if rows == 0:
+    if rows == 0 or not any(ranks for _, ranks in wanted):
         return [[] for _ in wanted]
-    cuts = _sorted_cuts(df, orderings, rows, _range_count(rows, rows_per_range))
-
-    def tag(n: int, o: Ordering) -> Column:
-        below = _count_below(cuts[n], o.place(), df.schema[o.id].dataType)
-        return F.struct(F.lit(n).alias("which"), below.alias("range"), o.place().alias("place"))
-
-    tags = F.explode(F.array(*[tag(n, o) for n, o in enumerate(orderings)]))
-    tagged = df.select(tags.alias("t")).select("t.which", "t.range", "t.place")
-
-    sizes: list[dict[int, int]] = [{} if c else {0: rows} for c in cuts]
-    if any(cuts):
-        for r in tagged.groupBy("which", "range").agg(F.count(F.lit(1)).alias("rows")).collect():
-            sizes[r["which"]][r["range"]] = r["rows"]
-
-    # Translate each global rank to (range, rank inside the range).
-    targets: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
-    for n, (_, ranks) in enumerate(wanted):
-        for slot, rank in enumerate(ranks):
-            left = rank
-            for rng in sorted(sizes[n]):
-                if left <= sizes[n][rng]:
-                    targets.setdefault((n, rng, left), []).append((n, slot))
-                    break
-                left -= sizes[n][rng]
-    out: list[list] = [[None] * len(ranks) for _, ranks in wanted]
-    if not targets:
-        return out
-    ranges_hit = sorted({(n, r) for n, r, _ in targets})
-    in_range = reduce(or_, [(F.col("which") == n) & (F.col("range") == r) for n, r in ranges_hit])
-    is_target = reduce(
-        or_, [(F.col("which") == n) & (F.col("range") == r) & (F.col("inside") == i) for n, r, i in sorted(targets)]
+    searches: dict[Ordering, _Search] = {}
+    for ordering, ranks in wanted:
+        known = searches[ordering].ranks if ordering in searches else []
+        searches[ordering] = _Search(df, ordering, [*known, *ranks], rows)
+    for search in searches.values():
+        for turn in range(MAX_ROUNDS):
+            if not search.narrow(rows_per_range, turn):
+                break
+
+    inside = Window.partitionBy("_which", "_interval").orderBy("_value", "_id")
+    picks: dict[tuple[int, int, int], tuple[Ordering, int]] = {}
+    candidates = []
+    for which, (ordering, search) in enumerate(searches.items()):
+        if not search.ranks:
+            continue
+        candidates.append(search.rows_inside(which))
+        ranks = iter(search.ranks)
+        for interval, offsets in sorted(search.targets().items()):
+            for offset in offsets:
+                picks[which, interval, offset] = (ordering, next(ranks))
+    ranked = reduce(DataFrame.unionAll, candidates).withColumn("_row", F.row_number().over(inside))
+    hit = reduce(
+        or_, [(F.col("_which") == w) & (F.col("_interval") == i) & (F.col("_row") == r) for w, i, r in picks]
     )
-    inside = F.row_number().over(Window.partitionBy("which", "range").orderBy("place"))
-    hits = tagged.where(in_range).withColumn("inside", inside).where(is_target)
-    for hit in hits.collect():  # one row per wanted rank
-        for n, slot in targets[(hit["which"], hit["range"], hit["inside"])]:
-            out[n][slot] = hit["place"]
-    return out
+    places = {
+        picks[r["_which"], r["_interval"], r["_row"]]: Place(r["_value"], r["_id"])
+        for r in ranked.where(hit).collect()  # one row per wanted rank
+    }
+    return [[places[ordering, rank] for rank in ranks] for ordering, ranks in wanted]
 
 
 def tile_ends(rows: int, tiles: int) -> list[int]:
@@ -163,18 +215,16 @@ def distributed_ntile(
 ) -> DataFrame:
     """Add ``NTILE(n) OVER (ORDER BY ...)`` columns, given as ``(name, n, ordering)``.
 
-    Once the boundary rows are known, a row's tile is the number of boundaries
-    before it, so ``df`` itself is neither shuffled nor sorted.
+    A row's tile is the number of tile ends before it, plus one.
     """
     rows = df.count() if rows is None else rows
-    found = places_at(df, [(o, tile_ends(rows, n)) for _, n, o in tiles], rows, rows_per_range)
+    found = places_at(df, [(o, tile_ends(rows, n) if rows else []) for _, n, o in tiles], rows, rows_per_range)
+    columns = []
     for (name, _, ordering), ends in zip(tiles, found):
-        place = ordering.place()
-        tile = F.lit(1)
-        for end in ends:
-            tile = tile + (place_literal(end, df.schema[ordering.id].dataType) < place).cast("int")
-        df = df.withColumn(name, tile)
-    return df
+        id_type = df.schema[ordering.id].dataType
+        beyond = [ordering.after(end, id_type).cast("int") for end in ends]
+        columns.append(reduce(lambda a, b: a + b, beyond, F.lit(1)).alias(name))
+    return df.select("*", *columns)
 
 
 def prefix_sum(
@@ -188,17 +238,28 @@ def prefix_sum(
 ) -> DataFrame:
     """Add the global rank, and the running sum of the money column ``value``.
 
-    Rows are shuffled once, by range; each range is sorted alone and shifted by
-    what lies before it.
+    Rows are range-partitioned and sorted once and written with their position, so
+    positions stay what they are however often later stages are retried. What lies
+    before each range is added from a table of at most ``MAX_RANGES`` rows.
     """
     rows = df.count() if rows is None else rows
-    cuts = _sorted_cuts(df, [ordering], rows, _range_count(rows, rows_per_range))[0] if rows else []
+    ranges = max(1, min(MAX_RANGES, rows // rows_per_range))
     units = F.coalesce(exact_units(F.col(value)), F.lit(0).cast("bigint")) if value else F.lit(0).cast("bigint")
-    ranged = df.withColumn("_place", ordering.place()).withColumn("_units", units)
-    ranged = ranged.withColumn("_range", _count_below(cuts, F.col("_place"), df.schema[ordering.id].dataType))
+    # The id holds the partition above bit 33 and the position in it below.
+    position = F.monotonically_increasing_id()
+    placed = settle(
+        df.withColumn("_value", ordering.value())
+        .withColumn("_units", units)
+        .repartitionByRange(ranges, "_value", ordering.id)
+        .sortWithinPartitions("_value", ordering.id)
+        .withColumn("_position", position)
+        .withColumn("_range", F.shiftright("_position", 33).cast("int"))
+        .withColumn("_row", F.col("_position").bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(1)),
+        "ranked",
+    )
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy("_range")
+        placed.groupBy("_range")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("_units").alias("s"))
         .select(
             "_range",
@@ -206,15 +267,12 @@ def prefix_sum(
             F.coalesce(F.sum("s").over(before), F.lit(0)).alias("_units_before"),
         )
     )
-    inside = Window.partitionBy("_range").orderBy("_place")
-    out = (
-        ranged.join(F.broadcast(offsets), "_range")  # at most MAX_RANGES rows
-        .withColumn(rank_name, F.row_number().over(inside) + F.col("_rows_before"))
-    )
+    out = placed.join(F.broadcast(offsets), "_range")  # at most MAX_RANGES rows
+    added = [(F.col("_row") + F.col("_rows_before")).alias(rank_name)]
     if value:
-        running = F.sum("_units").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-        out = out.withColumn(sum_name, from_units(running + F.col("_units_before")))
-    return out.drop("_range", "_place", "_units", "_rows_before", "_units_before")
+        so_far = Window.partitionBy("_range").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+        added.append(from_units(F.sum("_units").over(so_far) + F.col("_units_before")).alias(sum_name))
+    return out.select(*df.columns, *added)
 
 
 def distributed_rank(df: DataFrame, ordering: Ordering, rows: int | None = None, name: str = "rank") -> DataFrame:

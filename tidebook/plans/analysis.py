@@ -15,7 +15,7 @@ from tidebook.functions import (
     round_half_away,
     share_of,
 )
-from tidebook.operators.ranking import ROWS_PER_RANGE, Ordering, place_literal, places_at, prefix_sum
+from tidebook.operators.ranking import ROWS_PER_RANGE, Ordering, places_at, prefix_sum
 
 REVENUE_DESC = Ordering("lifetime_revenue", descending=True)
 
@@ -73,7 +73,7 @@ def pareto(
     id_type = segments.schema[REVENUE_DESC.id].dataType
     units = exact_units(F.col("lifetime_revenue"))
     tops = [
-        F.sum(F.when(REVENUE_DESC.place() <= place_literal(p, id_type), units)).alias(f"top{b}")
+        F.sum(F.when(~REVENUE_DESC.after(p, id_type), units)).alias(f"top{b}")
         for b, p in zip(ends, places)
     ]
     sums = segments.agg(F.sum(units).alias("total"), *tops)
