@@ -92,7 +92,7 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
     while True:
         before = (seen["n"], seen["h"])
         both = edges.unionByName(edges.select(b.alias("a"), a.alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), a).alias("m"))
         large = both.join(least, "a").where(b > a).select(b.alias("a"), F.col("m").alias("b"))
         large = settle(large.distinct(), label)
         low = large.groupBy("a").agg(F.min("b").alias("m"))
