@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import bpe, html_text, packing, simhash
+from tidebook.llm import bpe, html_text, packing, simhash, warc
 from tidebook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, "doc_id", "text", with_ids=False).drop("ids")
 
 
+@query
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    _, index = warc.archive(pages)
+    found = warc.lookup(table(spark, sf_dir, "pages").select("url", "page_id"), index)
+    return warc.read_records(found, index.folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
