@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import bpe, html_text, packing, quality, simhash, suffixes, warc
+from tidebook.llm import bpe, html_text, packing, quality, simhash, suffixes, toxicity, warc
 from tidebook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, "doc_id", "text")
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, chain)
+    return scored.select("doc_id", "p_toxic", "p_strong", "p_severe", "toxic", (~F.col("toxic")).alias("kept"))
