@@ -357,7 +357,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     spans = settle(repeated_spans(docs, length), "spans")
     # Spans of a context and its neighbours overlap; a text's list is as long as its anchors at most, and is cut down here.
     lists = spans.groupBy(*KEYS).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))
-    others = [c for c in df.columns if c not in names and c != text]
+    others = [c for c in df.columns if c not in names and c != text]  # what is left of the text is ``kept``
     mark = {c: f"_{i}" for i, c in enumerate(others)}
     rows = df.select(F.col(key).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("text_hash"), body, *(F.col(f"`{c}`").alias(mark[c]) for c in others))
     both = packed(rows).alias("r").join(lists.alias("l"), F.col("r.id").eqNullSafe(F.col("l.id")) & (F.col("r.text_hash") == F.col("l.text_hash")), "left")

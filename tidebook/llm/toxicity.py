@@ -205,7 +205,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", most: int = M
 
 
 def score(df: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
-    """``df`` with p_toxic, p_strong, p_severe, and ``toxic``: whether the first category is reached."""
+    """``df`` with p_toxic, p_strong, p_severe, and ``toxic``: whether the first category is reached.
+    Input columns of these names are replaced."""
     ship(df.sparkSession)
     fields = [*((f"p_{c}", T.DoubleType()) for c in chain.categories), ("toxic", T.BooleanType())]
     match = Matcher(chain.vocabulary)
