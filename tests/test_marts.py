@@ -169,7 +169,7 @@ def test_channel_without_spend(wh, rows):
 
 def test_regional_scorecard_weights_by_orders(wh, rows):
     """EMEA: customer 1 has three orders, 3 and 4 have none and count once."""
-    got = {r[0]: r[1:] for r in rows(analysis.regional_scorecard(wh.dim_customers, wh.staged.orders))}
+    got = {r[0]: r[1:] for r in rows(analysis.regional_scorecard(wh.dim_customers))}
     assert got["EMEA"] == (3, 100.0, round(3 * 100.4 / 5), 0.0)
     assert got["APAC"] == (1, 200.0, 200.0, 100.0)
 
@@ -241,3 +241,15 @@ def test_unused_feeds_leave_the_plan(wh):
     """A revenue query reads neither subscriptions nor spend."""
     plan = wh.kpis("revenue")._jdf.queryExecution().optimizedPlan().toString()
     assert "net_amount" in plan and "mrr" not in plan and "spend" not in plan
+
+
+@pytest.mark.parametrize(("tiles", "tiers"), [(10, [2, 3, 3, 2]), (5, [1, 1, 2, 1])])
+def test_value_tiers_follow_the_tiles(spark, tiles, tiers):
+    """Dormant, Occasional, Core, High-Value: 2, 3, 3 and 2 tenths in whole tiles, rounded up for the higher ones."""
+    from pyspark.sql import functions as F
+
+    from tidebook.plans.marts import value_tier
+
+    got = spark.range(1, tiles + 1).select(value_tier(F.col("id"), tiles).alias("t")).groupBy("t").count().collect()
+    counts = {r["t"]: r["count"] for r in got}
+    assert [counts.get(t, 0) for t in ("Dormant", "Occasional", "Core", "High-Value")] == tiers

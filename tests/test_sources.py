@@ -131,3 +131,21 @@ def test_pivot_explore(spark, rows):
     for bad in (("i", "x", "sum"), ("g", "g", "sum"), ("g", "x", "median")):
         with pytest.raises(ValueError):
             pivot_explore(df, *bad)
+
+
+def test_two_arrays_in_a_file_fail(spark, tmp_path):
+    """The second array must not be lost without a word."""
+    (tmp_path / "one.json").write_text('[{"a": 1}, {"a": 2}]\n')
+    assert sorted(r["a"] for r in read_json_array(spark, str(tmp_path), "a bigint").collect()) == [1, 2]
+    assert sorted(r["a"] for r in read_json_array(spark, str(tmp_path)).collect()) == [1, 2]
+    (tmp_path / "two.json").write_text('[{"a": 3}] [{"a": 4}]')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_json_array(spark, str(tmp_path), "a bigint").collect()
+
+
+def test_json_arrays_keep_every_event(spark):
+    """At a size where many arrays are written."""
+    from tidebook.catalog import QUERIES
+
+    sf = "/root/testdata/sf0.1"
+    assert QUERIES["s02_json_array_source"](spark, sf).count() == spark.read.parquet(f"{sf}/events.parquet").count()

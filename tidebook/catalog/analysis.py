@@ -5,10 +5,11 @@ from __future__ import annotations
 from tidebook.catalog.base import add
 from tidebook.catalog.oracle import money
 from tidebook.plans import analysis as A
+from tidebook.session import settle
 
 add(
     "q1_revenue_concentration",
-    lambda b: A.concentration(b.wh.customer_segments),
+    lambda b: A.concentration(b.wh.dim_customers, "is_high_value_seed"),  # no tiles are needed
     f"""SELECT CASE is_high_value_seed WHEN 1 THEN 'Priority (high-value)' ELSE 'Everyone else' END AS cohort,
     count(*) AS customers, round(100.0::DOUBLE * count(*) / any_value(total_customers), 1) AS pct_customers,
     round({money("lifetime_revenue")}) AS lifetime_revenue,
@@ -17,7 +18,7 @@ add(
 )
 add(
     "q2_pareto",
-    lambda b: A.pareto(b.wh.customer_segments),
+    lambda b: A.pareto(settle(b.wh.dim_customers.select("customer_id", "lifetime_revenue"))),
     """WITH placed AS (SELECT total_revenue,
         CAST(sum(CAST(lifetime_revenue AS DECIMAL(18,4))) OVER w AS DOUBLE) AS so_far,
         CAST(ceil(10 * row_number() OVER w / total_customers) AS INTEGER) * 10 AS bucket
@@ -69,7 +70,7 @@ add(
 )
 add(
     "q8_regional_scorecard",
-    lambda b: A.regional_scorecard(b.wh.dim_customers, b.staged.orders),
+    lambda b: A.regional_scorecard(b.wh.dim_customers),
     f"""SELECT region, count(DISTINCT c.customer_id) AS customers, round({money("o.recognized_revenue")}) AS revenue,
     round({money("c.lifetime_revenue")} / count(*)) AS avg_ltv,
     round(100.0::DOUBLE * CAST(count(*) FILTER (WHERE has_active_sub) AS DOUBLE) / count(*), 1) AS pct_with_active_sub

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from tidebook.catalog.base import Bound, add
 from tidebook.catalog.oracle import money
 from tidebook.operators import quality as Q
 from tidebook.plans.warehouse import BANDS, ORDER_STATUSES, PLANS, REGIONS, Warehouse, mart_suite, staging_suite
-from tidebook.session import settle
+from tidebook.session import scratch_path, settle
 
 # The bound base tables have their own regions and event types.
 BOUND_REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -46,7 +47,7 @@ add(
 add(
     "c04_accepted_values",
     lambda b: Q.accepted(b.staged.customers, "region", REGIONS),
-    "SELECT region AS value, count(*) AS occurrences FROM stg_customers WHERE region NOT IN ('EMEA', 'APAC', 'LATAM') GROUP BY 1",
+    "SELECT region AS value, count(*) AS occurrences FROM stg_customers WHERE region NOT IN ('North America', 'EMEA', 'APAC', 'LATAM') GROUP BY 1",
 )
 
 
@@ -142,22 +143,62 @@ def built_checks(b: Bound) -> DataFrame:
     return Q.run_checks({**wh.staged.by_name, **wh.marts}, suite)
 
 
-def _passing_sql() -> str:
-    """Every declared test has a line, and on the bound tables every one passes."""
+def _failures(table: str, kind: str, column: str, spec: Q.Expect) -> str:
+    """A count of failures over the oracle's own tables."""
+    if kind == "unique":
+        return f"(SELECT count(*) FROM (SELECT 1 FROM {table} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1))"
+    if kind == "not_null":
+        return f"(SELECT count(*) - count({column}) FROM {table})"
+    if kind == "bounds":
+        low, high = spec.bounds[column]
+        tests = [f"{column} < {low}"] * (low is not None) + [f"{column} > {high}"] * (high is not None)
+        return f"(SELECT count(*) FROM {table} WHERE {' OR '.join(tests)})"
+    if kind == "accepted_values":
+        values = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in spec.accepted[column])
+        return f"(SELECT count(DISTINCT {column}) FROM {table} WHERE {column} NOT IN ({values}))"
+    parent, key = spec.relationships[column]
+    return f"(SELECT count(*) FROM {table} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL))"
+
+
+def _verdicts_sql() -> str:
+    """A line for every declared test, its failures counted."""
     lines = []
-    for table, spec in {**staging_suite(), **mart_suite()}.items():
-        lines += [("unique", table, c) for c in spec.unique]
-        lines += [("not_null", table, c) for c in spec.not_null]
-        lines += [("bounds", table, c) for c in spec.bounds]
-        lines += [("accepted_values", table, c) for c in spec.accepted]
-        lines += [("relationships", table, c) for c in spec.relationships]
-    return " UNION ALL ".join(
-        f"SELECT '{k}' AS check_name, '{t}' AS table_name, '{c}' AS column_name, CAST(0 AS BIGINT) AS failures, 'pass' AS status"
-        for k, t, c in lines
+    for table, spec in {**staging_suite(BOUND_REGIONS, BOUND_EVENTS), **mart_suite()}.items():
+        kinds = {"unique": spec.unique, "not_null": spec.not_null, "bounds": spec.bounds, "accepted_values": spec.accepted}
+        for kind, columns in (kinds | {"relationships": spec.relationships}).items():
+            lines += [f"('{kind}', '{table}', '{c}', {_failures(table, kind, c, spec)})" for c in columns]
+    return f"""SELECT *, CASE failures WHEN 0 THEN 'pass' ELSE 'fail' END AS status
+    FROM (VALUES {", ".join(lines)}) v(check_name, table_name, column_name, failures)"""
+
+
+add("c11_all_checks", built_checks, _verdicts_sql())
+
+
+def refused_export(b: Bound) -> DataFrame:
+    """A failing test keeps every mart out of the export folder."""
+    failing = settle(Q.run_checks(b.staged.by_name, {"stg_customers": Q.Expect(accepted={"region": REGIONS})}))
+    folder, refused = scratch_path(b.spark, "refused"), False
+    try:
+        b.wh.export(folder, "parquet", failing)
+    except Q.ChecksFailed:
+        refused = True
+    written = 0
+    for name in b.wh.marts:
+        try:
+            written += b.spark.read.parquet(f"{folder}/parquet/{name}").count() >= 0
+        except AnalysisException:
+            continue
+    return failing.groupBy().agg(F.sum("failures").alias("failures")).select(
+        "failures", F.lit(refused).alias("refused"), F.lit(written).cast("bigint").alias("marts_written")
     )
 
 
-add("c11_all_checks", built_checks, _passing_sql())
+add(
+    "c11_refused_export",
+    refused_export,
+    """SELECT CAST(count(DISTINCT region) AS BIGINT) AS failures, count(*) > 0 AS refused, CAST(0 AS BIGINT) AS marts_written
+    FROM stg_customers WHERE region NOT IN ('North America', 'EMEA', 'APAC', 'LATAM')""",
+)
 
 
 def export_gate(b: Bound) -> DataFrame:

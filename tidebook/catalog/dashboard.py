@@ -10,6 +10,7 @@ from tidebook.catalog.relational import _CURVE_SQL, _RFM_SQL, _SLICE, _SLICE_SQL
 from tidebook.operators.slicing import pivot_explore, slice_customers, slice_orders
 from tidebook.plans import analysis as A
 from tidebook.plans import dashboard as D
+from tidebook.functions.money import RATE
 from tidebook.session import settle
 
 
@@ -140,9 +141,15 @@ add(
     lambda b: pivot_explore(b.wh.customer_segments, "value_tier", "lifetime_revenue", "max"),
     "SELECT value_tier, max(lifetime_revenue) AS lifetime_revenue FROM scored GROUP BY 1",
 )
+add(
+    "d20_no_code_pivot_mean",
+    lambda b: pivot_explore(b.wh.customer_segments, "region", "revenue_share", "mean", RATE),
+    """SELECT region, CAST(sum(CAST(revenue_share AS DECIMAL(28,15))) AS DOUBLE) / count(revenue_share) AS revenue_share
+    FROM customer_segments WHERE region IS NOT NULL GROUP BY 1""",
+)
 add(
     "d21_priority_headline",
-    lambda b: D.priority_headline(b.wh.customer_segments),
+    lambda b: D.priority_headline(b.wh.dim_customers),
     """SELECT flagged_customers / total_customers AS customer_share, flagged_revenue / total_revenue AS revenue_share
     FROM totals""",
 )

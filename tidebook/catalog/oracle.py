@@ -13,13 +13,13 @@ def money_avg(expr: str) -> str:
 
 
 def ratio_avg(expr: str) -> str:
-    """Mean of amounts that are themselves quotients, in whole 1e-4 steps."""
-    return f"(CAST(SUM(CAST(({expr}) * 1e4 AS BIGINT)) AS DOUBLE) / 1e4 / nullif(count({expr}), 0))"
+    """Mean of amounts that are themselves quotients, to ten decimals each."""
+    return f"(CAST(SUM(CAST(({expr}) AS DECIMAL(28,10))) AS DOUBLE) / nullif(count({expr}), 0))"
 
 
 def rate_avg(expr: str) -> str:
-    """Mean of small-table rates, summed as whole 1e-12 steps."""
-    return f"(CAST(SUM(CAST(({expr}) * 1e12 AS BIGINT)) AS DOUBLE) / 1e12 / nullif(count({expr}), 0))"
+    """Mean of rates, to fifteen decimals each."""
+    return f"(CAST(SUM(CAST(({expr}) AS DECIMAL(28,15))) AS DOUBLE) / nullif(count({expr}), 0))"
 
 
 _CHANNELS = "['Paid Search','Paid Social','Organic','Referral','Email','Affiliate','Direct']"

@@ -18,13 +18,14 @@ from tidebook.functions import (
     ratio_or_zero,
     share_of,
 )
+from tidebook.functions.money import RATE
 from tidebook.operators.incremental import apply_rows
 from tidebook.operators.intervals import CLOSED_OPEN, OPEN_CLOSED, active_on_spine
 from tidebook.operators.quality import relationships
 from tidebook.operators.ranking import Ordering, distributed_ntile, distributed_rank, prefix_sum
 from tidebook.operators.slicing import column_kinds, pivot_explore, slice_orders
 from tidebook.plans import analysis, dashboard
-from tidebook.plans.marts import customer_rollup, value_tier
+from tidebook.plans.marts import customer_rollup, priority_totals, value_tier
 from tidebook.session import settle
 
 # --- projections --------------------------------------------------------------
@@ -277,10 +278,11 @@ add(
 )
 add(
     "j09_semi_join",
+    # Summed first: a customer with a third of all orders is one row per task before the join.
     lambda b: b.staged.orders.where("is_recognized")
-    .join(b.staged.customers.where("is_high_value_seed = 1").select("customer_id"), "customer_id", "left_semi")
     .groupBy("customer_id")
-    .agg(exact_sum(F.col("net_amount")).alias("revenue")),
+    .agg(exact_sum(F.col("net_amount")).alias("revenue"))
+    .join(b.staged.customers.where("is_high_value_seed = 1").select("customer_id"), "customer_id", "left_semi"),
     f"""SELECT o_custkey AS customer_id, {money("o_totalprice")} AS revenue FROM orders
     WHERE o_orderstatus = 'F' AND o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 8 = 0) GROUP BY 1""",
 )
@@ -447,6 +449,26 @@ add(
     lambda b: pivot_explore(b.wh.fct_subscriptions, "plan", "months_active", "mean"),
     "SELECT plan, CAST(sum(months_active) AS DOUBLE) / count(months_active) AS months_active FROM stg_subscriptions GROUP BY 1",
 )
+for _agg, _sql in (
+    ("sum", "CAST(sum(v) AS DOUBLE)"),
+    ("mean", "CAST(sum(v) AS DOUBLE) / count(v)"),
+):
+    # Shares of one customer in all revenue: the more customers, the smaller.
+    add(
+        f"a14_share_{_agg}",
+        lambda b, agg=_agg: pivot_explore(b.wh.customer_segments, "value_tier", "revenue_share", agg, RATE),
+        f"""SELECT value_tier, {_sql} AS revenue_share
+        FROM (SELECT value_tier, CAST(revenue_share AS DECIMAL(28,15)) AS v FROM customer_segments) GROUP BY 1""",
+    )
+    for _rate in ("conversion_rate", "churn_rate"):
+        add(
+            f"a14_{_rate}_{_agg}",
+            lambda b, agg=_agg, rate=_rate: pivot_explore(
+                b.wh.kpi_monthly.select(F.date_format("month", "yyyy").alias("year"), rate), "year", rate, agg, RATE
+            ),
+            f"""SELECT year, {_sql} AS {_rate} FROM
+            (SELECT strftime(month, '%Y') AS year, CAST({_rate} AS DECIMAL(28,15)) AS v FROM kpi_monthly) GROUP BY 1""",
+        )
 add(
     "a15_mean_ignoring_zeros",
     lambda b: b.staged.orders.groupBy("channel").agg(
@@ -501,7 +523,9 @@ def totals_on_rows(b: Bound) -> DataFrame:
 add("w03_totals_over_all", totals_on_rows, "SELECT customer_id, total_revenue, total_customers FROM dim_customers, totals")
 add(
     "w04_conditional_total",
-    lambda b: b.wh.customer_segments.select("customer_id", "priority_revenue_share", "priority_customer_share"),
+    lambda b: b.wh.dim_customers.select("customer_id")
+    .crossJoin(F.broadcast(priority_totals(b.wh.dim_customers)))  # one row
+    .select("customer_id", "priority_revenue_share", "priority_customer_share"),
     """SELECT customer_id, flagged_revenue / total_revenue AS priority_revenue_share,
     flagged_customers / total_customers AS priority_customer_share FROM dim_customers, totals""",
 )
@@ -531,7 +555,7 @@ def lag_month(b: Bound) -> DataFrame:
     return monthly.select(
         "month",
         before.alias("previous"),
-        (exact_units(F.col("recognized_revenue")) - exact_units(before)).alias("delta_units"),
+        ((exact_units(F.col("recognized_revenue")) - exact_units(before)) * 10_000).cast("bigint").alias("delta_units"),
     )
 
 

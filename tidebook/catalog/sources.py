@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tidebook.catalog.base import Bound, add
 from tidebook.operators.calendar import date_bounds, day_spine
 from tidebook.operators.slicing import filter_domain
-from tidebook.session import scratch_path
+from tidebook.plans.warehouse import MART_NAMES
+from tidebook.session import scratch_path, settle
 from tidebook.sources import (
     bindings,
     export,
@@ -46,12 +47,12 @@ def csv_inferred(b: Bound) -> DataFrame:
 
 
 def json_array_source(b: Bound) -> DataFrame:
-    """Each partition becomes a file that holds one JSON array."""
+    """One JSON array per file, an array for each day's events."""
     path = scratch_path(b.spark, "events-array")
     rows = bindings.raw_events_nested(b.spark, b.sf_dir)
-    text = rows.select(F.to_json(F.struct(*rows.columns), MICROS).alias("j"), (F.col("event_id") / 5000).cast("bigint").alias("f"))
-    arrays = text.groupBy("f").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value"))
-    arrays.select("value").repartition(8).write.option("lineSep", " ").text(path)
+    text = rows.select(F.to_json(F.struct(*rows.columns), MICROS).alias("j"), F.to_date("event_ts").alias("day"))
+    arrays = text.groupBy("day").agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return flatten(read_json_array(b.spark, path, EVENTS_NESTED), "properties")
 
 
@@ -91,7 +92,7 @@ def load_counts(b: Bound) -> DataFrame:
 
 
 def row_floor_check(b: Bound) -> DataFrame:
-    rows = replace_table(b.raw["orders"].select("order_id"), scratch_path(b.spark, "orders"))
+    rows = replace_table(b.raw["orders"], scratch_path(b.spark, "orders"))
     return b.spark.createDataFrame([("orders", rows, row_floor(rows))], "table_name string, row_count bigint, status string")
 
 
@@ -110,7 +111,7 @@ def parquet_sink(b: Bound) -> DataFrame:
 
 def export_formats(b: Bound) -> DataFrame:
     """Rows found in each format's folder after each kind of export."""
-    marts = {"dim_date": b.wh.dim_date, "fct_subscriptions": b.wh.fct_subscriptions}
+    marts = {name: settle(df, name) for name, df in b.wh.marts.items()}
     out = None
     for fmt in ("csv", "parquet", "both"):
         root = scratch_path(b.spark, f"export-{fmt}")
@@ -128,8 +129,7 @@ def export_formats(b: Bound) -> DataFrame:
 
 def export_manifest(b: Bound) -> DataFrame:
     root = scratch_path(b.spark, "export")
-    marts = {n: getattr(b.wh, n) for n in ("dim_date", "fct_orders", "fct_subscriptions", "cohort_retention")}
-    export(marts, root, "parquet")
+    export(b.wh.marts, root, "parquet")
     return read_json_lines(b.spark, f"{root}/_manifest", "table_name string, rows bigint, generated_at_utc timestamp").select(
         "table_name", F.col("rows").alias("row_count"), F.col("generated_at_utc").isNotNull().alias("dated")
     )
@@ -194,27 +194,19 @@ add(
 add("s09_table_scan", table_scan, "SELECT * FROM kpi_daily ORDER BY date_key")
 add("s10_parquet_sink", parquet_sink, "SELECT * FROM fct_orders")
 add("s11_csv_sink", csv_sink, "SELECT * FROM fct_subscriptions")
+_MART_COUNTS = " UNION ALL ".join(f"SELECT '{m}' AS table_name, count(*) AS row_count FROM {m}" for m in MART_NAMES)
 add(
     "s12_export_format_switch",
     export_formats,
-    """WITH c AS (SELECT 'dim_date' AS table_name, count(*) AS row_count FROM dim_date
-    UNION ALL SELECT 'fct_subscriptions', count(*) FROM fct_subscriptions),
+    f"""WITH c AS ({_MART_COUNTS}),
 f(export_format, kind) AS (VALUES ('csv','csv'), ('parquet','parquet'), ('both','csv'), ('both','parquet'))
 SELECT export_format, kind, table_name, row_count FROM c, f""",
 )
-add(
-    "s13_export_manifest",
-    export_manifest,
-    """SELECT 'dim_date' AS table_name, count(*) AS row_count, true AS dated FROM dim_date
-UNION ALL SELECT 'fct_orders', count(*), true FROM fct_orders
-UNION ALL SELECT 'fct_subscriptions', count(*), true FROM fct_subscriptions
-UNION ALL SELECT 'cohort_retention', count(*), true FROM cohort_retention""",
-)
+add("s13_export_manifest", export_manifest, f"SELECT *, true AS dated FROM ({_MART_COUNTS})")
 add(
     "s13_mart_row_counts",
-    lambda b: manifest_rows({"dim_customers": b.wh.dim_customers, "dim_date": b.wh.dim_date, "kpi_monthly": b.wh.kpis()}),
-    """SELECT 'dim_customers' AS table_name, count(*) AS rows FROM customer
-UNION ALL SELECT 'dim_date', count(*) FROM dim_date UNION ALL SELECT 'kpi_monthly', count(*) FROM months""",
+    lambda b: manifest_rows(b.wh.marts),
+    f"SELECT table_name, row_count AS rows FROM ({_MART_COUNTS})",
 )
 add(
     "s14_filter_domain",

@@ -14,6 +14,7 @@ from tidebook.functions.money import (  # noqa: F401
     exact_mean,
     exact_sum,
     exact_units,
+    no_units,
     from_units,
     rate_mean,
     round_half_away,

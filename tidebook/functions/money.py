@@ -2,9 +2,9 @@
 
 Amounts and rates arrive as DOUBLE. A double sum depends on the order in which
 partitions finish, so the same job can print two different totals. Here each value
-becomes a whole number of units, sums are BIGINT (cheap in generated code, no boxed
-decimals), and the result goes back to DOUBLE once. ANSI mode raises on overflow,
-which for money starts at 922 trillion per group.
+becomes a decimal, sums are DECIMAL(38, scale), and the result goes back to DOUBLE once.
+The default scale of ten decimals leaves cents, and tiny amounts, as they are, and has
+room for totals of 1e28; columns of small shares are summed with more decimals.
 """
 
 from __future__ import annotations
@@ -12,24 +12,29 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = 10_000.0  # units per one: four decimals
-RATE = 1e12  # for values around 0..1, averaged over small tables only
+MONEY = 10  # decimals of amounts
+RATE = 15  # of values around 0..1
+DIGITS = 28  # of one value; a sum has ten more
 
 
-def exact_units(amount: Column, scale: float = MONEY) -> Column:
-    return F.rint(amount * F.lit(scale)).cast("bigint")
+def exact_units(amount: Column, scale: int = MONEY) -> Column:
+    return amount.cast(f"decimal({DIGITS},{scale})")
 
 
-def from_units(units: Column, scale: float = MONEY) -> Column:
-    return units.cast("double") / F.lit(scale)
+def no_units(scale: int = MONEY) -> Column:
+    return exact_units(F.lit(0), scale)
 
 
-def exact_sum(amount: Column, scale: float = MONEY) -> Column:
+def from_units(units: Column) -> Column:
+    return units.cast("double")
+
+
+def exact_sum(amount: Column, scale: int = MONEY) -> Column:
     """Sum of a column as DOUBLE; NULL when no row has a value."""
-    return from_units(F.sum(exact_units(amount, scale)), scale)
+    return from_units(F.sum(exact_units(amount, scale)))
 
 
-def exact_mean(amount: Column, scale: float = MONEY) -> Column:
+def exact_mean(amount: Column, scale: int = MONEY) -> Column:
     """Mean of a column, NULLs left out; NULL when nothing is left."""
     return F.try_divide(exact_sum(amount, scale), F.count(amount))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidebook.functions import exact_units, from_units
+from tidebook.functions import exact_units, from_units, no_units
 
 OPEN_CLOSED = "(]"  # start <  point <= end
 CLOSED_OPEN = "[)"  # start <= point <  end
@@ -44,7 +44,7 @@ def active_on_spine(
     """
     if bounds not in (OPEN_CLOSED, CLOSED_OPEN):
         raise ValueError(f"bounds must be '(]' or '[)', not {bounds!r}")
-    w = F.lit(1).cast("bigint") if weight is None else F.coalesce(exact_units(F.col(weight)), F.lit(0).cast("bigint"))
+    w = F.lit(1).cast("bigint") if weight is None else F.coalesce(exact_units(F.col(weight)), no_units())
     changes = (
         intervals.where(usable_interval(F.col(start), F.col(end)))
         .select(F.explode(endpoint_changes(F.col(start), F.col(end), w, -w)).alias("e"))

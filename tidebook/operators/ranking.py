@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidebook.functions import exact_units, from_units
+from tidebook.functions import exact_units, from_units, no_units
 from tidebook.session import settle
 
 #: Rows one task may sort.
@@ -244,7 +244,7 @@ def prefix_sum(
     """
     rows = df.count() if rows is None else rows
     ranges = max(1, min(MAX_RANGES, rows // rows_per_range))
-    units = F.coalesce(exact_units(F.col(value)), F.lit(0).cast("bigint")) if value else F.lit(0).cast("bigint")
+    units = F.coalesce(exact_units(F.col(value)), no_units()) if value else F.lit(0).cast("bigint")
     # The id holds the partition above bit 33 and the position in it below.
     position = F.monotonically_increasing_id()
     placed = settle(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidebook.functions import exact_mean, exact_sum
+from tidebook.functions.money import MONEY
 
 AGGREGATIONS = ("sum", "mean", "count", "min", "max")
 
@@ -80,8 +81,12 @@ def column_kinds(df: DataFrame) -> dict[str, list[str]]:
     return {"numeric": numeric, "categorical": [c for c in df.columns if c not in numeric]}
 
 
-def pivot_explore(df: DataFrame, by: str, metric: str, agg: str = "sum") -> DataFrame:
-    """``metric`` aggregated per value of ``by``, largest first. NULL groups are left out."""
+def pivot_explore(df: DataFrame, by: str, metric: str, agg: str = "sum", decimals: int = MONEY) -> DataFrame:
+    """``metric`` aggregated per value of ``by``, largest first. NULL groups are left out.
+
+    Sums and means of fractional columns are taken over ``decimals`` decimals: the default
+    is for amounts, ``RATE`` is for shares and rates, which may all be tiny.
+    """
     kinds = column_kinds(df)
     if by not in kinds["categorical"]:
         raise ValueError(f"cannot group by {by!r}; choose one of {kinds['categorical']}")
@@ -92,8 +97,8 @@ def pivot_explore(df: DataFrame, by: str, metric: str, agg: str = "sum") -> Data
     column = F.col(metric)
     fractional = isinstance(df.schema[metric].dataType, (T.DoubleType, T.FloatType))
     expr = {
-        "sum": exact_sum(column) if fractional else F.sum(column),
-        "mean": exact_mean(column) if fractional else F.try_divide(F.sum(column).cast("double"), F.count(column)),
+        "sum": exact_sum(column, decimals) if fractional else F.sum(column),
+        "mean": exact_mean(column, decimals) if fractional else F.try_divide(F.sum(column).cast("double"), F.count(column)),
         "count": F.count(column),
         "min": F.min(column),
         "max": F.max(column),

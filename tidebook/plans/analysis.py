@@ -48,7 +48,7 @@ def concentration(segments: DataFrame, flag: str = "priority_segment") -> DataFr
         "customers",
         round_half_away(percent(F.col("customers"), F.sum("customers").over(everyone)), 1).alias("pct_customers"),
         round_half_away(from_units(F.col("units"))).alias("lifetime_revenue"),
-        round_half_away(percent(F.col("units"), F.sum("units").over(everyone)), 1).alias("pct_revenue"),
+        round_half_away(percent(from_units(F.col("units")), from_units(F.sum("units").over(everyone))), 1).alias("pct_revenue"),
     ).orderBy(F.col("pct_revenue").desc_nulls_last())
 
 
@@ -81,7 +81,7 @@ def pareto(
         *[
             F.struct(
                 F.lit(f"{b}%").alias("top_customers"),
-                round_half_away(percent(F.col(f"top{b}"), F.col("total")), 1).alias("pct_of_revenue"),
+                round_half_away(percent(from_units(F.col(f"top{b}")), from_units(F.col("total"))), 1).alias("pct_of_revenue"),
             )
             for b in ends
         ]
@@ -197,26 +197,22 @@ def plan_economics(subs: DataFrame) -> DataFrame:
     )
 
 
-def regional_scorecard(customers: DataFrame, orders: DataFrame) -> DataFrame:
+def regional_scorecard(customers: DataFrame) -> DataFrame:
     """Customers, revenue, average value and subscription share per region.
 
     ``avg_ltv`` and ``pct_with_active_sub`` are averages over the customer-order
     pairs, so a customer counts once per order (once if without orders). The pairs
-    are never formed: a customer's order count is the weight.
+    are never formed: a customer's order count is the weight. Orders are not read: the
+    customer dimension (``lifetime_orders``, ``lifetime_revenue``) carries what is needed.
     """
-    per_customer = orders.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("order_rows"), F.sum(exact_units(F.col("recognized_revenue"))).alias("units")
-    )
-    weight = F.coalesce("order_rows", F.lit(1).cast("bigint"))
-    # Units times orders of one very large customer can leave the BIGINT range.
-    value = exact_units(F.col("lifetime_revenue")).cast("decimal(20,0)") * weight.cast("decimal(18,0)")
+    weight = F.greatest("lifetime_orders", F.lit(1).cast("bigint"))
+    value = F.col("lifetime_revenue").cast("decimal(24,10)") * weight.cast("decimal(13,0)")
     active = F.when(F.col("has_active_sub"), weight).otherwise(F.lit(0).cast("bigint"))
     return (
-        customers.join(per_customer, "customer_id", "left")
-        .groupBy("region")
+        customers.groupBy("region")
         .agg(
             F.count("customer_id").alias("customers"),
-            round_half_away(from_units(F.sum("units"))).alias("revenue"),
+            round_half_away(from_units(F.sum(F.when(F.col("lifetime_orders") > 0, exact_units(F.col("lifetime_revenue")))))).alias("revenue"),
             round_half_away(ratio_or_null(from_units(F.sum(value)), F.sum(weight))).alias("avg_ltv"),
             round_half_away(percent(F.sum(active), F.sum(weight)), 1).alias("pct_with_active_sub"),
         )

@@ -16,6 +16,7 @@ from tidebook.functions import (
     ratio_or_null,
     share_of,
 )
+from tidebook.plans.marts import priority_totals
 
 # Display orders.
 TIER_ORDER = ["High-Value", "Core", "Occasional", "Dormant"]
@@ -97,9 +98,9 @@ def top_customers(segments: DataFrame, n: int = 25) -> DataFrame:
     )
 
 
-def priority_headline(segments: DataFrame) -> DataFrame:
-    return segments.agg(
-        F.max("priority_customer_share").alias("customer_share"), F.max("priority_revenue_share").alias("revenue_share")
+def priority_headline(customers: DataFrame) -> DataFrame:
+    return priority_totals(customers).select(
+        F.col("priority_customer_share").alias("customer_share"), F.col("priority_revenue_share").alias("revenue_share")
     )
 
 

@@ -11,6 +11,7 @@ from tidebook.functions import (
     calendar_columns,
     day_gap,
     exact_units,
+    no_units,
     first_month_after,
     first_month_from,
     from_units,
@@ -252,7 +253,7 @@ def subscription_feed(subscriptions: DataFrame) -> DataFrame:
     """
     start, end = F.col("start_date"), F.col("churn_date")
     usable = usable_interval(start, end)
-    units = F.coalesce(exact_units(F.col("mrr")), F.lit(0).cast("bigint"))
+    units = F.coalesce(exact_units(F.col("mrr")), no_units())
     none = F.lit(0).cast("bigint")
     one = _one()
 
@@ -268,11 +269,11 @@ def subscription_feed(subscriptions: DataFrame) -> DataFrame:
     opened = F.when(usable, first_month_after(start)), F.when(usable, first_month_from(start))
     closed = F.when(usable, first_month_after(end)), F.when(usable, first_month_from(end))
     changes = F.array(
-        change(opened[0], one, none, none, none),
+        change(opened[0], one, none, no_units(), none),
         change(opened[1], none, one, units, none),
-        change(closed[0], -one, none, none, none),
+        change(closed[0], -one, none, no_units(), none),
         change(closed[1], none, -one, -units, none),
-        change(month_start(end), none, none, none, one),
+        change(month_start(end), none, none, no_units(), one),
     )
     return (
         subscriptions.select(F.explode(changes).alias("c"))
@@ -390,9 +391,31 @@ def kpi_monthly(
 # --- segments -----------------------------------------------------------------
 
 
-def value_tier(decile: Column) -> Column:
+def value_tier(tile: Column, tiles: int = 10) -> Column:
+    """The top two tenths, the next three, the next three, and the rest; in whole tiles."""
+    from_tile = lambda tenths: tiles * tenths // 10 + 1
     return (
-        F.when(decile >= 9, "High-Value").when(decile >= 6, "Core").when(decile >= 3, "Occasional").otherwise("Dormant")
+        F.when(tile >= from_tile(8), "High-Value")
+        .when(tile >= from_tile(5), "Core")
+        .when(tile >= from_tile(2), "Occasional")
+        .otherwise("Dormant")
+    )
+
+
+def priority_totals(customers: DataFrame) -> DataFrame:
+    """One row: revenue and customers in all and in the priority group, and its shares. Needs no tiles."""
+    priority = F.col("is_high_value_seed") == 1
+    units = exact_units(F.col("lifetime_revenue"))
+    sums = customers.agg(
+        from_units(F.sum(units)).alias("total_revenue"),
+        F.count(F.lit(1)).alias("total_customers"),
+        from_units(F.sum(F.when(priority, units).otherwise(no_units()))).alias("priority_revenue"),
+        F.sum("is_high_value_seed").alias("priority_customers"),
+    )
+    return sums.select(
+        "*",
+        ratio_or_null(F.col("priority_revenue"), F.col("total_revenue")).alias("priority_revenue_share"),
+        ratio_or_null(F.col("priority_customers"), F.col("total_customers")).alias("priority_customer_share"),
     )
 
 
@@ -451,7 +474,7 @@ def customer_segments(
         ],
         rows,
         rows_per_range,
-    ).withColumn("value_tier", value_tier(F.col("revenue_decile")))
+    ).withColumn("value_tier", value_tier(F.col("revenue_decile"), tiles))
 
     priority = F.col("is_high_value_seed") == 1
     units = exact_units(F.col("lifetime_revenue"))
@@ -461,7 +484,7 @@ def customer_segments(
         .agg(
             F.sum(units).alias("tier_units"),
             F.count(F.lit(1)).alias("tier_customers"),
-            F.sum(F.when(priority, units).otherwise(F.lit(0).cast("bigint"))).alias("p_units"),
+            F.sum(F.when(priority, units).otherwise(no_units())).alias("p_units"),
             F.sum("is_high_value_seed").alias("p_customers"),
         )
         .select(

@@ -23,10 +23,20 @@ def read_json_array(spark: SparkSession, path: str, schema: str | T.StructType |
     """Files that hold one JSON array each.
 
     A file is one task, because an array cannot be split: large feeds should be
-    many files, or JSON lines (:func:`read_json_lines`), which do split.
+    many files, or JSON lines (:func:`read_json_lines`), which do split. Each file is
+    read as text and parsed as an array, so a file that holds anything else, or anything
+    after its array, fails the read instead of losing rows. Without a schema the files
+    are read twice, once to infer it.
     """
-    reader = spark.read.option("multiLine", True)
-    return (reader.schema(schema) if schema is not None else reader).json(path)
+    if schema is None:
+        schema = spark.read.option("multiLine", True).json(path).schema
+    element = schema if isinstance(schema, str) else schema.simpleString()
+    kind = element if element.startswith("struct<") else f"struct<{element}>"
+    whole = spark.read.option("wholetext", True).text(path)
+    # A blank file is an empty array. Text between the last ] and the end, or a ] [ between two arrays, is not JSON.
+    parsed = F.from_json(F.concat(F.lit('{"rows":'), F.col("value"), F.lit("}")), f"struct<rows: array<{kind}>>", {"mode": "FAILFAST"})
+    rows = F.when(F.trim(F.col("value")) != "", parsed["rows"])
+    return whole.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
@@ -74,12 +84,19 @@ def row_floor(count: int, minimum: int = 50_000) -> str:
     return "warn" if count < minimum else "pass"
 
 
-def land(spark: SparkSession, source_dir: str, landed_dir: str) -> dict[str, int]:
-    """Land the five CSV extracts and the JSON events; returns rows per table."""
+def land(spark: SparkSession, source_dir: str, landed_dir: str, events: str = "array") -> dict[str, int]:
+    """Land the five CSV extracts and the JSON events; returns rows per table.
+
+    ``events`` names the form of ``events.json``: an ``array`` (one task per file), or
+    ``lines``, which large feeds should come as because they split.
+    """
+    if events not in ("array", "lines"):
+        raise ValueError(f"events come as 'array' or 'lines', not {events!r}")
+    read_events = read_json_array if events == "array" else read_json_lines
     counts = {}
     for name, schema in RAW_SCHEMAS.items():
         if name == "events":
-            rows = flatten(read_json_array(spark, f"{source_dir}/events.json", schema), "properties")
+            rows = flatten(read_events(spark, f"{source_dir}/events.json", schema), "properties")
         else:
             rows = read_csv(spark, f"{source_dir}/{name}.csv", schema)
         counts[name] = replace_table(stamp(rows), f"{landed_dir}/{name}")
