@@ -92,3 +92,39 @@ def test_tile_sizes_differ_by_at_most_one():
 def test_ranking_plan_has_no_single_partition_sort(skewed):
     plan = distributed_ntile(skewed, [("t", 10, Ordering("v"))], rows_per_range=100)._jdf.queryExecution().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize(
+    "kind",
+    [
+        "CAST(id * 3 + 9007199254740990 AS BIGINT)",
+        "date_add(DATE '2020-01-01', CAST(id % 97 AS INT))",
+        "CAST(timestamp_seconds(id * 1000) AS TIMESTAMP_NTZ)",
+        "CAST(id % 50 AS DECIMAL(38,10)) / 7",
+        "concat('k', id % 40)",
+        "CASE id % 4 WHEN 0 THEN double('NaN') WHEN 1 THEN -double(id) ELSE double(id) END",
+    ],
+)
+def test_keys_compare_in_their_own_type(spark, kind, descending):
+    df = settle(spark.range(900).selectExpr("id AS customer_id", f"CASE WHEN id % 11 <> 0 THEN {kind} END AS v"))
+    ordering = Ordering("v", descending=descending)
+    w = Window.orderBy(F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last(), "customer_id")
+    tiles = distributed_ntile(df, [("t", 7, ordering)], rows_per_range=60)
+    assert same(tiles.withColumn("w", F.ntile(7).over(w)), "t", "w")
+    ranks = distributed_rank(df, ordering, name="r")
+    assert same(ranks.withColumn("w", F.row_number().over(w)), "r", "w")
+
+
+def test_neighbours_beyond_the_range_of_doubles(spark):
+    df = settle(spark.createDataFrame([(1, 9007199254740993), (2, 9007199254740992)], "customer_id long, v long"))
+    got = {r["customer_id"]: r["r"] for r in distributed_rank(df, Ordering("v"), name="r").collect()}
+    assert got == {2: 1, 1: 2}
+
+
+def test_repeated_key_and_id_are_counted(spark):
+    """Two thirds of all rows share key and id; no cut can part them."""
+    df = settle(spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN id ELSE 500 END AS customer_id", "CASE WHEN id % 3 = 0 THEN id % 9 ELSE 4 END AS v"))
+    ends = places_at(df, [(Ordering("v"), [1, 1000, 1500, 3000])], rows_per_range=100)[0]
+    rows = df.orderBy("v", "customer_id").collect()
+    assert [(p.value, p.id) for p in ends] == [(rows[k - 1]["v"], rows[k - 1]["customer_id"]) for k in (1, 1000, 1500, 3000)]

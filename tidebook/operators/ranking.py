@@ -2,8 +2,9 @@
 
 A window without a partition key sends every row to one task. Here
 
-* rows are ordered by ``(key, id)``, NULL keys last: a key value shared by a third of
-  all rows still splits, by id;
+* rows are ordered by ``(key, id)``, NULL keys last, keys compared in their own type: a
+  key value shared by a third of all rows still splits, by id, and rows that share key
+  and id are counted, not sorted;
 * the rows at given ranks (tile ends, Pareto edges) are found by narrowing: a hash
   sample suggests cuts just around each wanted rank, one pass counts the rows between
   cuts, and only the intervals that hold a wanted rank go on. Samples decide how fast
@@ -22,7 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cmp_to_key, reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,41 +35,56 @@ from tidebook.session import settle
 
 #: Rows one task may sort.
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4096
-#: Sampled rows per interval and round.
+#: Sampled rows per interval and round; each round shrinks an interval about thirtyfold.
 SAMPLE = 16_384
-#: Each round shrinks an interval about thirtyfold; more rounds than this are never needed.
-MAX_ROUNDS = 10
+#: Offsets of this many ranges are sent to every task; more are joined.
+BROADCAST_RANGES = 100_000
 
 
 @dataclass(frozen=True)
 class Ordering:
-    """ORDER BY ``key`` [DESC] NULLS LAST, ``id``. Keys compare as DOUBLE."""
+    """ORDER BY ``key`` [DESC] NULLS LAST, ``id``. Any orderable type; NaN is the largest number."""
 
     key: str
     id: str = "customer_id"
     descending: bool = False
 
-    def value(self) -> Column:
-        """The key, ascending. NULL becomes NaN, which sorts after every number."""
-        value = F.col(self.key).cast("double")
-        return F.coalesce(-value if self.descending else value, F.lit(math.nan))
-
-    def after(self, place: Place, id_type: T.DataType, value: Column | None = None) -> Column:
-        """Whether a row comes later than ``place``."""
-        value, at = (self.value() if value is None else value), F.lit(place.value)
-        return (value > at) | ((value == at) & (F.col(self.id) > F.lit(place.id).cast(id_type)))
+    def columns(self, key: Column | None = None, id: Column | None = None) -> list[Column]:
+        """What to sort by."""
+        key = F.col(self.key) if key is None else key
+        return [key.desc_nulls_last() if self.descending else key.asc_nulls_last(), F.col(self.id) if id is None else id]
+
+    def after(self, place: Place, schema: T.StructType, key: Column | None = None) -> Column:
+        """Whether a row comes later than ``place``; ``schema`` has the types of key and id."""
+        key = F.col(self.key) if key is None else key
+        later = F.col(self.id) > F.lit(place.id).cast(schema[self.id].dataType)
+        if place.value is None:
+            return key.isNull() & later
+        at = F.lit(place.value).cast(schema[self.key].dataType)
+        beyond = key < at if self.descending else key > at
+        return F.when(key.isNull(), F.lit(True)).otherwise(beyond | ((key == at) & later))
+
+    def compare(self, a: Place, b: Place) -> int:
+        """As Spark would order two places."""
+        if (a.value is None) != (b.value is None):
+            return 1 if a.value is None else -1
+        x, y = a.known_value(), b.known_value()
+        if x != y:
+            return (1 if x > y else -1) * (-1 if self.descending else 1)
+        return (a.id > b.id) - (a.id < b.id)
 
 
 @dataclass(frozen=True)
 class Place:
     """Where a row stands in an ordering."""
 
-    value: float
+    value: object
     id: object
 
-    def sort_key(self) -> tuple:
-        return (math.isnan(self.value), 0.0 if math.isnan(self.value) else self.value, self.id)
+    def known_value(self) -> tuple:
+        """The value such that NaN equals itself and is the largest."""
+        odd = isinstance(self.value, float) and math.isnan(self.value)
+        return (self.value is None, odd, None if odd else self.value)
 
 
 class _Search:
@@ -76,15 +92,15 @@ class _Search:
 
     def __init__(self, df: DataFrame, ordering: Ordering, ranks: Sequence[int], rows: int):
         self.ordering = ordering
-        self.id_type = df.schema[ordering.id].dataType
-        self.rows_of = df.select(ordering.value().alias("_value"), F.col(ordering.id))
+        self.schema = df.schema
+        self.rows_of = df.select(F.col(ordering.key).alias("_value"), F.col(ordering.id))
         self.ranks = sorted(set(ranks))
         self.cuts: list[Place] = []  # interval i lies after cuts[i - 1], up to and with cuts[i]
         self.sizes = {0: rows}
 
     def interval(self) -> Column:
         """The interval a row falls into: how many cuts lie before it."""
-        steps = [self.ordering.after(c, self.id_type, F.col("_value")).cast("int") for c in self.cuts]
+        steps = [self.ordering.after(c, self.schema, F.col("_value")).cast("int") for c in self.cuts]
         return reduce(lambda a, b: a + b, steps, F.lit(0))
 
     def targets(self) -> dict[int, list[int]]:
@@ -103,32 +119,30 @@ class _Search:
         wide = {i: r for i, r in self.targets().items() if self.sizes[i] > limit}
         if not wide:
             return False
-        tagged = self.rows_of.withColumn("_interval", self.interval())
-        # A new hash each round: a row left out once may be drawn the next time.
-        draw = F.xxhash64(F.col(self.ordering.id), F.lit(turn))
-        drawn = [
-            (F.col("_interval") == i) & (F.pmod(draw, F.lit(max(1, self.sizes[i] // SAMPLE))) == 0) for i in wide
-        ]
+        # Drawn by chance, row by row: rows that share key and id are not drawn together, and what
+        # a rerun task draws instead changes the speed, not the result.
+        chance = reduce(lambda e, i: e.when(F.col("_interval") == i, F.lit(SAMPLE / self.sizes[i])), wide, F.when(F.lit(False), 0.0))
         samples = (
-            tagged.where(reduce(or_, drawn))
+            self.rows_of.withColumn("_interval", self.interval())
+            .where(F.rand(turn) < chance)
             .groupBy("_interval")
-            .agg(F.sort_array(F.collect_list(F.struct("_value", self.ordering.id))).alias("s"))
+            .agg(F.collect_list(F.struct("_value", self.ordering.id)).alias("s"))
             .collect()  # about SAMPLE rows per interval
         )
-        cuts = {c.sort_key(): c for c in self.cuts}
+        in_order = cmp_to_key(self.ordering.compare)
+        cuts = {(c.known_value(), c.id): c for c in self.cuts}
         for row in samples:
-            sample, size = row["s"], self.sizes[row["_interval"]]
+            sample, size = sorted((Place(v, i) for v, i in row["s"]), key=in_order), self.sizes[row["_interval"]]
             for rank in wide[row["_interval"]]:
                 share = rank / size
                 middle = share * len(sample)
                 slack = 4 * math.sqrt(len(sample) * share * (1 - share)) + 2
                 for at in (math.floor(middle - slack), math.ceil(middle + slack)):
                     if 0 <= at < len(sample):
-                        place = Place(sample[at][0], sample[at][1])
-                        cuts.setdefault(place.sort_key(), place)
+                        cuts.setdefault((sample[at].known_value(), sample[at].id), sample[at])
         if len(cuts) == len(self.cuts):
             return False  # the sample cannot tell the wanted rank from its neighbours
-        self.cuts = [cuts[k] for k in sorted(cuts)]
+        self.cuts = sorted(cuts.values(), key=in_order)
         counted = self.rows_of.groupBy(self.interval().alias("_interval")).agg(F.count(F.lit(1)).alias("n"))
         self.sizes = {r["_interval"]: r["n"] for r in counted.collect()}  # a few per wanted rank
         self._merge_idle()
@@ -147,13 +161,22 @@ class _Search:
                     cuts.append(self.cuts[i])
         self.cuts, self.sizes = cuts, sizes
 
-    def rows_inside(self, which: int) -> DataFrame:
-        held = sorted(self.targets())
-        return (
-            self.rows_of.withColumn("_interval", self.interval())
-            .where(F.col("_interval").isin(held))
-            .select(F.lit(which).alias("_which"), "_interval", "_value", F.col(self.ordering.id).alias("_id"))
-        )
+    def found(self) -> dict[int, Place]:
+        """Rank -> place. Sorts what is left, one task per interval; equal rows are one row with a count."""
+        targets = self.targets()
+        id = F.col(self.ordering.id)
+        left = self.rows_of.withColumn("_interval", self.interval()).where(F.col("_interval").isin(sorted(targets)))
+        counted = left.groupBy("_interval", "_value", id).agg(F.count(F.lit(1)).alias("_n"))
+        upto = Window.partitionBy("_interval").orderBy(*self.ordering.columns(F.col("_value"), id))
+        counted = counted.withColumn("_upto", F.sum("_n").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+        wanted = [(i, offset) for i, offsets in sorted(targets.items()) for offset in offsets]
+        hit = [(F.col("_interval") == i) & (F.col("_upto") >= o) & (F.col("_upto") - F.col("_n") < o) for i, o in wanted]
+        rows = counted.where(reduce(or_, hit)).collect()  # a row per wanted rank at most
+        ranks = dict(zip(wanted, self.ranks, strict=True))
+        return {
+            rank: next(Place(r["_value"], r[self.ordering.id]) for r in rows if r["_interval"] == i and r["_upto"] - r["_n"] < o <= r["_upto"])
+            for (i, o), rank in ranks.items()
+        }
 
 
 def places_at(
@@ -174,31 +197,14 @@ def places_at(
     for ordering, ranks in wanted:
         known = searches[ordering].ranks if ordering in searches else []
         searches[ordering] = _Search(df, ordering, [*known, *ranks], rows)
-    for search in searches.values():
-        for turn in range(MAX_ROUNDS):
-            if not search.narrow(rows_per_range, turn):
-                break
-
-    inside = Window.partitionBy("_which", "_interval").orderBy("_value", "_id")
-    picks: dict[tuple[int, int, int], tuple[Ordering, int]] = {}
-    candidates = []
-    for which, (ordering, search) in enumerate(searches.items()):
-        if not search.ranks:
-            continue
-        candidates.append(search.rows_inside(which))
-        ranks = iter(search.ranks)
-        for interval, offsets in sorted(search.targets().items()):
-            for offset in offsets:
-                picks[which, interval, offset] = (ordering, next(ranks))
-    ranked = reduce(DataFrame.unionAll, candidates).withColumn("_row", F.row_number().over(inside))
-    hit = reduce(
-        or_, [(F.col("_which") == w) & (F.col("_interval") == i) & (F.col("_row") == r) for w, i, r in picks]
-    )
-    places = {
-        picks[r["_which"], r["_interval"], r["_row"]]: Place(r["_value"], r["_id"])
-        for r in ranked.where(hit).collect()  # one row per wanted rank
-    }
-    return [[places[ordering, rank] for rank in ranks] for ordering, ranks in wanted]
+    places = {}
+    for ordering, search in searches.items():
+        turn = 0
+        while search.narrow(rows_per_range, turn):
+            turn += 1
+        if search.ranks:
+            places[ordering] = search.found()
+    return [[places[ordering][rank] for rank in ranks] for ordering, ranks in wanted]
 
 
 def tile_ends(rows: int, tiles: int) -> list[int]:
@@ -221,8 +227,7 @@ def distributed_ntile(
     found = places_at(df, [(o, tile_ends(rows, n) if rows else []) for _, n, o in tiles], rows, rows_per_range)
     columns = []
     for (name, _, ordering), ends in zip(tiles, found):
-        id_type = df.schema[ordering.id].dataType
-        beyond = [ordering.after(end, id_type).cast("int") for end in ends]
+        beyond = [ordering.after(end, df.schema).cast("int") for end in ends]
         columns.append(reduce(lambda a, b: a + b, beyond, F.lit(1)).alias(name))
     return df.select("*", *columns)
 
@@ -240,18 +245,17 @@ def prefix_sum(
 
     Rows are range-partitioned and sorted once and written with their position, so
     positions stay what they are however often later stages are retried. What lies
-    before each range is added from a table of at most ``MAX_RANGES`` rows.
+    before each range is added from a table with a row per range.
     """
     rows = df.count() if rows is None else rows
-    ranges = max(1, min(MAX_RANGES, rows // rows_per_range))
+    ranges = max(1, rows // rows_per_range)
     units = F.coalesce(exact_units(F.col(value)), no_units()) if value else F.lit(0).cast("bigint")
     # The id holds the partition above bit 33 and the position in it below.
     position = F.monotonically_increasing_id()
     placed = settle(
-        df.withColumn("_value", ordering.value())
-        .withColumn("_units", units)
-        .repartitionByRange(ranges, "_value", ordering.id)
-        .sortWithinPartitions("_value", ordering.id)
+        df.withColumn("_units", units)
+        .repartitionByRange(ranges, *ordering.columns())
+        .sortWithinPartitions(*ordering.columns())
         .withColumn("_position", position)
         .withColumn("_range", F.shiftright("_position", 33).cast("int"))
         .withColumn("_row", F.col("_position").bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(1)),
@@ -267,7 +271,7 @@ def prefix_sum(
             F.coalesce(F.sum("s").over(before), F.lit(0)).alias("_units_before"),
         )
     )
-    out = placed.join(F.broadcast(offsets), "_range")  # at most MAX_RANGES rows
+    out = placed.join(F.broadcast(offsets) if ranges <= BROADCAST_RANGES else offsets, "_range")
     added = [(F.col("_row") + F.col("_rows_before")).alias(rank_name)]
     if value:
         so_far = Window.partitionBy("_range").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)

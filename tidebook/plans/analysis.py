@@ -70,10 +70,9 @@ def pareto(
     if not ends:
         return segments.sparkSession.createDataFrame([], "top_customers string, pct_of_revenue double")
     places = places_at(segments, [(REVENUE_DESC, list(ends.values()))], n, rows_per_range)[0]
-    id_type = segments.schema[REVENUE_DESC.id].dataType
     units = exact_units(F.col("lifetime_revenue"))
     tops = [
-        F.sum(F.when(~REVENUE_DESC.after(p, id_type), units)).alias(f"top{b}")
+        F.sum(F.when(~REVENUE_DESC.after(p, segments.schema), units)).alias(f"top{b}")
         for b, p in zip(ends, places)
     ]
     sums = segments.agg(F.sum(units).alias("total"), *tops)
