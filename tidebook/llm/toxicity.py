@@ -72,7 +72,7 @@ def sample(docs: DataFrame, labels: DataFrame, key: str, most: int) -> DataFrame
     """The labelled texts to train on: (key, text, toxic)."""
     marked = labels.where(F.col(key).isNotNull()).groupBy(key).agg(F.coalesce(F.max("toxic"), F.lit(0)).alias("toxic"))
     chosen = marked.orderBy(F.xxhash64(key), key).limit(most)
-    return docs.join(F.broadcast(chosen), key).select(key, "text", "toxic")
+    return docs.select(key, "text").join(F.broadcast(chosen), key)  # ``most`` ids
 
 
 def vocabulary_of(train: DataFrame, most: int) -> list[str]:
@@ -150,7 +150,7 @@ def best_threshold(p: np.ndarray, y: np.ndarray, times: np.ndarray) -> float:
 def fit(found: list[list[int]], n_words: np.ndarray, fold: np.ndarray, toxic: np.ndarray, vocabulary: list[str]) -> Chain:
     n, m = len(toxic), len(vocabulary)
     if not m or not toxic.any():
-        prior = (toxic.sum() + 0.5) / (n + 1.0)
+        prior = (toxic.sum() + 0.5) / (n + 1.5)
         weights = [np.r_[np.log(prior / (1 - prior)), np.zeros(m + j)] for j in range(len(CATEGORIES))]
         return Chain(vocabulary, list(CATEGORIES), weights, [0.5] * len(CATEGORIES))
     density = np.fromiter(map(len, found), float, n) / np.maximum(n_words, 1)
