@@ -114,9 +114,33 @@ def test_stream_picks_up_new_files_once(spark, rows, tmp_path):
         if lot:
             spark.createDataFrame(lot, ORDERS).coalesce(1).write.mode("append").option("header", True).csv(inbox)
         stream = order_stream(spark, inbox, files_per_batch=1)
-        run_incremental(stream, customers, target, log).awaitTermination()
+        run_incremental(stream, customers, target, log, HIGH_WATER).awaitTermination()
     assert state(spark.read.parquet(target), rows) == HIGH
 
 
 def test_staged_batch_matches_schema(spark):
     assert stg_orders(raw(spark, orders=LOADED)["orders"]).schema["order_ts"].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_files_in_any_order_and_batches_lose_nothing(spark, tmp_path):
+    """Later files hold the same moment and earlier ones; every file is a batch of its own."""
+    customers = staged(spark, customers=PEOPLE).customers
+    inbox, target, log = (str(tmp_path / n) for n in ("inbox", "fact", "log"))
+    lots = [[order(5, 1, "2024-03-02 10:00", 1.0)], [order(6, 1, "2024-03-02 10:00", 2.0), order(7, 1, "2024-03-02 09:00", 4.0)], [order(8, 1, "2024-01-05 09:00", 8.0)]]
+    for lot in lots:
+        raw(spark, orders=lot)["orders"].coalesce(1).write.mode("append").parquet(inbox)
+    schema = spark.read.parquet(inbox).schema
+    for _ in range(2):  # the second run finds nothing new
+        run_incremental(order_stream(spark, inbox, schema, "parquet", files_per_batch=1), customers, target, log).awaitTermination()
+    got = spark.read.parquet(target)
+    assert sorted((r["order_id"], r["net_amount"]) for r in got.collect()) == [(5, 1.0), (6, 2.0), (7, 4.0), (8, 8.0)]
+
+
+def test_an_emptied_month_costs_its_folder(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    publish(fact(spark, [order(1, 1, "2024-01-05 09:00", 1.0), order(2, 1, "2024-02-05 09:00", 2.0), order(3, 1, "2024-03-05 09:00", 3.0)]), path)
+    untouched = sorted((tmp_path / "fact" / "order_month=2024-03-01").iterdir())
+    publish(fact(spark, [order(1, 1, "2024-02-07 09:00", 1.0)]), path, mode=KEY_DIFF)
+    got = sorted((r["order_id"], str(r["order_month"])) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "2024-02-01"), (2, "2024-02-01"), (3, "2024-03-01")]
+    assert sorted((tmp_path / "fact" / "order_month=2024-03-01").iterdir()) == untouched

@@ -82,9 +82,21 @@ def streamed(b: Bound) -> DataFrame:
     return b.spark.read.parquet(target).select(*fct_orders(b.staged.orders, b.staged.customers).columns)
 
 
+def out_of_order(b: Bound) -> DataFrame:
+    """Three loads that share every day and moment: each brings rows before the last one's newest."""
+    inbox, target, log = (scratch_path(b.spark, n) for n in ("inbox", "fct_orders", "stream-log"))
+    raw = b.raw["orders"]
+    for lot in range(3):
+        raw.where(F.pmod(F.xxhash64("order_id"), F.lit(3)) == lot).write.mode("append").parquet(inbox)
+        stream = order_stream(b.spark, inbox, raw.schema, "parquet")
+        run_incremental(stream, b.staged.customers, target, log).awaitTermination()
+    return b.spark.read.parquet(target).select(*fct_orders(b.staged.orders, b.staged.customers).columns)
+
+
 add("i1_incremental_high_water", lambda b: merge_new(loaded_so_far(b), b.wh.fct_orders), "SELECT * FROM fct_orders")
 add("i1_incremental_published", published, "SELECT * FROM fct_orders")
 add("i1_incremental_streamed", streamed, "SELECT * FROM fct_orders")
+add("i1_incremental_out_of_order", out_of_order, "SELECT * FROM fct_orders")
 add("i1_incremental_key_diff", changed_rows, "SELECT order_id, status, recognized_revenue FROM stg_orders")
 add(
     "i1_high_water_misses_changes",

@@ -53,6 +53,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def full_refresh(fact: DataFrame, path: str, partition: str = "order_month") -> None:
     """Rebuild the stored fact from scratch."""
     write_parquet(fact, path, partition)
@@ -71,8 +76,9 @@ def publish(
     Only months that gain or lose a row are rewritten: those of the new rows and
     those that hold a row being replaced. Everything else is left alone, so a daily
     load costs about a month of data. The new rows and the rewritten months are
-    settled in the shared folder first, as a job cannot overwrite what it reads;
-    they also stay there should the final write be interrupted.
+    settled in the shared folder first, as a job cannot overwrite what it reads. The
+    write moves folder by folder; should it be interrupted, publishing the same batch
+    again with ``key_diff`` completes it (``high_water`` would not look at older months).
     """
     spark = batch.sparkSession
     if not _exists(spark, path):
@@ -97,10 +103,8 @@ def publish(
     if any(m is None for m in months):
         touched = touched | F.col(partition).isNull()
     rewritten = settle(apply_rows(target.where(touched), new, key), "rewritten")
-    emptied = set(months) - {r[0] for r in rewritten.select(partition).distinct().collect()}
-    if emptied:
-        # A month whose rows all moved elsewhere cannot be expressed as an overwrite.
-        rest = target.where(~F.coalesce(touched, F.lit(False)))
-        full_refresh(settle(rest.unionByName(rewritten), "rewritten"), path, partition)
-        return
+    # A month whose rows all moved elsewhere cannot be expressed as an overwrite: its folder goes
+    # first, so that a replay by key finds its rows missing, never twice.
+    for month in set(months) - {r[0] for r in rewritten.select(partition).distinct().collect()}:
+        _remove(spark, f"{path}/{partition}={'__HIVE_DEFAULT_PARTITION__' if month is None else month}")
     write_parquet(rewritten, path, partition, replace="dynamic")

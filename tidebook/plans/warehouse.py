@@ -178,12 +178,9 @@ class Warehouse:
             frame.createOrReplaceTempView(name)
 
     def settled(self) -> Warehouse:
-        """Staging and marts written once; every later query scans the files.
-
-        Staged frames come first, so each extract is parsed once for all marts.
-        """
-        written = {name: settle(getattr(self.staged, name), name) for name in STAGING}
-        done = Warehouse(Staged(written.__getitem__))
+        """Marts written once; every later query scans the files. Staging is casts over
+        landed tables and is not copied."""
+        done = Warehouse(self.staged)
         for name in MART_NAMES:
             # Assigning shadows the lazy property of the same name.
             done.__dict__[name] = settle(getattr(done, name), name)

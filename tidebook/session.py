@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,8 +37,9 @@ def build_session(app: str = "tidebook", master: str | None = None, **conf: str)
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster such
-    a folder would be visible to one machine only.
+    Only a local session may fall back to a temporary folder, which goes when Python
+    ends: on a cluster such a folder would be visible to one machine only. A named folder
+    is the caller's to empty, once no query reads what a job has settled there.
     """
     root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -44,6 +47,7 @@ def scratch_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
     root = tempfile.mkdtemp(prefix="tidebook-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(root)
     return spark.sparkContext.getCheckpointDir() or root
 

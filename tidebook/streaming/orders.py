@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidebook.operators.incremental import HIGH_WATER, publish
+from tidebook.operators.incremental import KEY_DIFF, publish
 from tidebook.operators.staging import stg_orders
 from tidebook.plans.marts import fct_orders
 from tidebook.sources.schemas import ORDERS
@@ -28,14 +28,18 @@ def run_incremental(
     customers: DataFrame,
     target: str,
     checkpoint: str,
-    mode: str = HIGH_WATER,
+    mode: str = KEY_DIFF,
     continuous: str | None = None,
 ) -> StreamingQuery:
     """Stage each micro-batch, enrich it, and publish it to the fact at ``target``.
 
     Loads what has arrived and stops, or keeps running every ``continuous`` (such as
-    ``"10 minutes"``). A batch that is replayed after a failure changes nothing:
-    ``high_water`` finds no later row, ``key_diff`` finds no difference.
+    ``"10 minutes"``). Files may arrive in any order and be cut into any batches: by
+    default rows are told by key, so a row at or before what is already loaded is not
+    lost, and a batch that is replayed after a failure adds what is still missing and
+    nothing else. The price is a scan of the stored fact per batch. ``high_water`` reads
+    only the newest month, but takes each *batch* for one whole load: use it only where
+    a load is one batch (no ``files_per_batch``) and everything in it is later than the last.
     """
 
     def load(batch: DataFrame, _: int) -> None:
