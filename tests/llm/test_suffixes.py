@@ -112,5 +112,20 @@ def test_one_text_twice_under_one_id_and_null_ids(spark, docs_of):
     assert sorted(r["n_removed"] for r in rows) == [0, 300, 300, 300]
 
 
+@pytest.mark.parametrize("share", [None, 1])
+def test_part_of_a_text_without_id_is_repeated(spark, docs_of, monkeypatch, share):
+    if share:
+        monkeypatch.setattr(suffixes, "SHARE_LEAST", share)
+        monkeypatch.setattr(suffixes, "SHARE_MOST", share)
+    r = random.Random(12)
+    make = lambda k: "".join(r.choice("abcdefgh ") for _ in range(k))
+    shared = make(250)
+    rows = [(i, make(300) + shared + make(300)) for i in (None, 1, 2)]
+    got = suffixes.remove_repeats(docs_of(rows)).collect()
+    want = brute([t for _, t in rows], 200)
+    assert {r["doc_id"]: (r["n_removed"], bytes(r["kept"])) for r in got} == {i: (w[1], w[3]) for (i, _), w in zip(rows, want, strict=True)}
+    assert all(r["n_removed"] >= 250 for r in got)
+
+
 def test_empty_table(spark, docs_of):
     assert suffixes.remove_repeats(docs_of([])).count() == 0

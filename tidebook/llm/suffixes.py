@@ -223,7 +223,9 @@ CONTEXT = [("pos", T.LongType()), ("single", T.BooleanType()), ("gram", T.LongTy
 def cut_contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes around the ``wanted`` anchors (KEYS, pos, lo, hi, gram, single)."""
     lists = wanted.groupBy(*KEYS).agg(F.collect_list(F.struct("pos", "lo", "hi", "gram", "single")).alias("wanted"))
-    both = packed(docs.select(*KEYS, "body")).join(lists, KEYS)
+    d, w = packed(docs.select(*KEYS, "body")).alias("d"), lists.alias("w")
+    same = F.col("d.id").eqNullSafe(F.col("w.id")) & (F.col("d.text_hash") == F.col("w.text_hash"))
+    both = d.join(w, same).select("d.id", "d.text_hash", "d.packed", "w.wanted")
     schema = T.StructType([both.schema["id"], both.schema["text_hash"], *(T.StructField(n, t) for n, t in CONTEXT)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
