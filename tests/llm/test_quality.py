@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -107,6 +108,20 @@ def test_null_groups_and_one_large_group(spark):
     assert not got[999]["kept"]
 
 
+def test_group_with_much_junk(spark):
+    """Two fifths of a source are full of symbols: they go, the others stay."""
+    r = random.Random(1)
+
+    def text(junk):
+        words = ["".join(r.choice("abcdefghij") for _ in range(r.randrange(3, 9))) for _ in range(80)]
+        return " ".join(w + ("#" if junk and r.random() < 0.9 else "") for w in words)
+
+    rows = [(i, text(i % 5 < 2), "en", "s") for i in range(500)]
+    got = {r["doc_id"]: r["kept"] for r in q.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert sum(got[i] for i in range(500) if i % 5 < 2) == 0
+    assert sum(got[i] for i in range(500) if i % 5 >= 2) >= 0.98 * 300
+
+
 def test_groups_too_many_to_send(spark, sf, monkeypatch):
     docs = table(spark, sf, "documents")
     usual = sorted(map(tuple, q.judge(docs).select("doc_id", "kept").collect()))

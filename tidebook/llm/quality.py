@@ -5,10 +5,11 @@ by how unusual their statistics are for their language and source: the vector of
 
     mean word length (log), symbols per word (log), share of repeated lines, share of repeated words
 
-is fitted in each group by the minimum covariance determinant: from a start at medians and
-interquartile ranges, concentration steps take the ``SUBSET`` of texts nearest to the current
-centre and refit centre and covariance on them; one reweighting step follows. A text is rejected
-if its Mahalanobis distance exceeds what ``CUTOFF`` (a chi-squared quantile) allows.
+is fitted in each group by the minimum covariance determinant: from starts at medians, lower and
+upper quartiles with interquartile ranges, concentration steps take the ``SUBSET`` of texts nearest
+to the current centre and refit centre and covariance on them. The start that ends with the least
+determinant is the group's; one reweighting step follows. Half of a group may be junk. A text is
+rejected if its Mahalanobis distance exceeds what ``CUTOFF`` (a chi-squared quantile) allows.
 
 A step is one pass over the vectors (four integers a text, written once): rows are summed by group
 and distance bin before they are shuffled, so a source with a third of all rows is a few hundred
@@ -38,11 +39,13 @@ WORDS_PER_WINDOW = 5
 #: Base rules: fewest words, most repeated words in percent.
 LEAST_WORDS, MOST_REPEATED = 10, 20
 UNITS = 1024
-STEPS, SUBSET, LEAST_GROUP = 4, 0.75, 50
+STEPS, SUBSET, LEAST_GROUP = 4, 0.5, 50
+#: Which quartile of each statistic a start is centred on; the first one wins ties.
+STARTS = (1, 0, 2)
 #: 0.975 and 0.9999 quantiles of chi-squared with four degrees of freedom.
 INNER, CUTOFF = 11.143, 23.513
 #: What the covariance of that share of a normal sample is multiplied by to be the whole one's.
-SUBSET_FACTOR, INNER_FACTOR = 1.4866, 1.0645
+SUBSET_FACTOR, INNER_FACTOR = 2.1091, 1.0645
 #: Least standard deviation of each statistic, in its own unit.
 LEAST_DEVIATION = (0.04, 0.05, 0.08, 0.05)
 #: Words and lines that a text's ratios are completed with.
@@ -156,8 +159,9 @@ def squared_distance() -> Column:
 
 
 def factored(moments: DataFrame, factor: float) -> DataFrame:
-    """Centre and Cholesky factor per group from n, s. (sums) and q.. (sums of products)."""
-    out = moments.select("group", *((F.col(f"s{i}") / F.col("n")).cast("double").alias(f"m{i}") for i in range(4)), "n", *(f"q{i}{j}" for i in range(4) for j in range(i + 1)))
+    """Centre and Cholesky factor per group (and start) from n, s. (sums) and q.. (sums of products)."""
+    keys = [c for c in ("group", "start") if c in moments.columns]
+    out = moments.select(*keys, *((F.col(f"s{i}") / F.col("n")).cast("double").alias(f"m{i}") for i in range(4)), "n", *(f"q{i}{j}" for i in range(4) for j in range(i + 1)))
     for i in range(4):
         for j in range(i + 1):
             cov = factor * (F.col(f"q{i}{j}").cast("double") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
@@ -165,7 +169,7 @@ def factored(moments: DataFrame, factor: float) -> DataFrame:
                 cov = F.greatest(cov, F.lit(0.0)) + (LEAST_DEVIATION[i] * UNITS) ** 2
             rest = reduce(lambda a, k: a - F.col(f"l{i}{k}") * F.col(f"l{j}{k}"), range(j), cov)
             out = out.withColumn(f"l{i}{j}", F.sqrt(F.greatest(rest, F.lit(1e-6))) if i == j else rest / F.col(f"l{j}{j}"))
-    return out.select("group", *(f"m{i}" for i in range(4)), *(f"l{i}{j}" for i in range(4) for j in range(i + 1)))
+    return out.select(*keys, *(f"m{i}" for i in range(4)), *(f"l{i}{j}" for i in range(4) for j in range(i + 1)))
 
 
 def moments() -> list[Column]:
@@ -175,16 +179,23 @@ def moments() -> list[Column]:
 
 
 def concentrated(rows: DataFrame, params: DataFrame, n_groups: int) -> DataFrame:
-    """Moments of the nearest ``SUBSET`` of each group, distances in narrow bins, the last one whole."""
+    """Moments of the nearest ``SUBSET`` of each group and start, distances in narrow bins, the last one whole."""
     binned = to_groups(rows, params, n_groups, ["group"])
     binned = binned.withColumn("bin", F.floor(F.log2(1 + squared_distance()) * BINS_PER_DOUBLING))
-    cells = binned.groupBy("group", "bin").agg(*moments())
-    upto = Window.partitionBy("group").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    all_of = Window.partitionBy("group")
+    cells = binned.groupBy("group", "start", "bin").agg(*moments())
+    upto = Window.partitionBy("group", "start").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    all_of = Window.partitionBy("group", "start")
     cells = cells.withColumns({"before": F.coalesce(F.sum("n").over(upto), F.lit(0)), "total": F.sum("n").over(all_of)})
     inside = cells.where(F.col("before") < F.ceil(F.col("total") * SUBSET))
     sums = ["n", *(f"s{i}" for i in range(4)), *(f"q{i}{j}" for i in range(4) for j in range(i + 1))]
-    return inside.groupBy("group").agg(*(F.sum(c).alias(c) for c in sums))
+    return inside.groupBy("group", "start").agg(*(F.sum(c).alias(c) for c in sums))
+
+
+def least_determinant(params: DataFrame) -> DataFrame:
+    """The start of each group that ended with the least determinant, the first of equal ones."""
+    size = F.round(reduce(add, (F.log(F.col(f"l{i}{i}")) for i in range(4))), 9)
+    every = F.struct(size.alias("size"), *(c for c in params.columns if c != "group"))
+    return params.groupBy("group").agg(F.min(every).alias("best")).select("group", *(f"best.{c}" for c in params.columns if c not in ("group", "start")))
 
 
 def judge(df: DataFrame, key: str = "doc_id", text: str = "text", by: tuple[str, str] = ("lang", "source")) -> DataFrame:
@@ -198,12 +209,13 @@ def judge(df: DataFrame, key: str = "doc_id", text: str = "text", by: tuple[str,
     fit = rows.where(~F.col("base_failed")).select("group", *X)
     quarters = [F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(x) for x in X]
     start = fit.groupBy("group").agg(*quarters)
-    centre = [F.col(x)[1].alias(f"m{i}") for i, x in enumerate(X)]
     spread = [F.greatest((F.col(x)[2] - F.col(x)[0]) / 1.349, F.lit(d * UNITS)) for x, d in zip(X, LEAST_DEVIATION, strict=True)]
     lower = [(spread[i] if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i in range(4) for j in range(i + 1)]
-    params = settle(start.select("group", *centre, *lower), "centres")
+    centres = F.array(*(F.struct(F.lit(k).alias("start"), *(F.col(x)[quarter].alias(f"m{i}") for i, x in enumerate(X))) for k, quarter in enumerate(STARTS)))
+    params = settle(start.select("group", *lower, F.inline(centres)), "centres")
     for _ in range(STEPS):
         params = settle(factored(concentrated(fit, params, n_groups), SUBSET_FACTOR), "centres")
+    params = settle(least_determinant(params), "centres")
     near = to_groups(fit, params, n_groups, ["group"]).where(squared_distance() <= INNER)
     params = settle(factored(near.groupBy("group").agg(*moments()), INNER_FACTOR), "centres")
 
