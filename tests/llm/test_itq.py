@@ -63,6 +63,20 @@ def test_recall_on_the_table(spark):
     assert all(r["n_links"] <= n for r, n in zip(got, links, strict=True))
 
 
+@pytest.mark.parametrize("dims", [64, 384])
+def test_recall_near_the_limit_of_vectors_not_learned_on(spark, dims):
+    """Pairs at cosines of 0.90 to 0.92; the rotation comes from an eighth of the vectors at most."""
+    r = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    one = unit(r.normal(size=(2000, dims)))
+    noise = r.normal(size=one.shape)
+    noise = unit(noise - (noise * one).sum(axis=1, keepdims=True) * one)
+    cosine = r.uniform(0.9001, 0.92, size=(2000, 1))
+    two = cosine * one + np.sqrt(1 - cosine**2) * noise
+    got = run(spark, np.concatenate([one, two]).tolist(), sample=500)
+    assert sum(g[1] for g in got) >= 0.95 * 2 * 2000
+
+
 @pytest.mark.parametrize("dims", [3, 100])
 def test_other_sizes(spark, dims):
     vectors = clouds(2, dims, 60)

@@ -8,7 +8,9 @@ one bit flipped on either side is equal. An equality join on pieces finds such p
 place, and checks the codes' distance; what is left is reranked by the cosine of the original
 vectors, in double precision.
 
-The index holds every vector; only the rotation comes from the sample. Recall is a matter of how
+A rotation separates some pairs at the limit, more of them where it has not seen the vectors. Each
+vector therefore has a second code of an independent projection, and pairs that are near in either
+code are reranked. The index holds every vector; only the projections come from the sample. Recall is a matter of how
 many bits a pair's codes differ in: see the README for measurements against brute force. Equal
 vectors are one row in the index, whatever their number, and count in full as links.
 
@@ -19,6 +21,8 @@ apart in the result and count as vectors.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,6 +33,8 @@ from tidebook.llm.common import append_columns, components, settle, ship
 
 BITS, TABLES, FLIPS = 64, 4, 2
 RADIUS = (FLIPS + 1) * TABLES - 1
+#: Codes of a vector, each by a rotation of its own.
+CODES = 2
 #: Vectors the rotation is learned on, and steps of learning.
 SAMPLE, STEPS = 20_000, 50
 #: Stands for "no bit flipped".
@@ -36,7 +42,8 @@ NONE = BITS // TABLES
 
 
 class Codes:
-    """Centre and projection; the code of x is the signs of (x - centre) @ projection."""
+    """Centre and projection; the code of x is the signs of (x - centre) @ projection. Other seeds
+    than zero start from directions of their own instead of the principal components."""
 
     def __init__(self, vectors: np.ndarray, bits: int = BITS, steps: int = STEPS, seed: int = 0):
         n, dims = vectors.shape
@@ -45,6 +52,8 @@ class Codes:
         inner = vectors - self.centre
         _, basis = np.linalg.eigh(inner.T @ inner + 1e-9 * np.eye(dims))
         basis = basis[:, ::-1][:, :bits]
+        if seed and dims > bits:
+            basis = np.linalg.qr(np.random.default_rng(seed + 1000).normal(size=(dims, bits)))[0]
         lift = np.zeros((dims, bits))
         lift[:, : basis.shape[1]] = basis
         values = inner @ lift
@@ -65,14 +74,14 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) > 0) & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def with_codes(vectors: DataFrame, dims: int, codes: Codes) -> DataFrame:
-    """``vectors`` (rep, unit array<double>) with ``code``."""
+def with_codes(vectors: DataFrame, dims: int, codes: list[Codes]) -> DataFrame:
+    """``vectors`` (rep, unit array<double>) with ``code0``, ``code1``, ... one of each of ``codes``."""
 
     def run(batch: pa.RecordBatch):
         x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
-        yield 0, batch.num_rows, [pa.array(codes(x), pa.int64())]
+        yield 0, batch.num_rows, [pa.array(c(x), pa.int64()) for c in codes]
 
-    return append_columns(vectors, ["unit"], [("code", T.LongType())], run)
+    return append_columns(vectors, ["unit"], [(f"code{i}", T.LongType()) for i in range(len(codes))], run)
 
 
 def piece(code: Column, table: int) -> Column:
@@ -89,7 +98,7 @@ def entries(coded: DataFrame) -> DataFrame:
             for i in range(NONE + 1)
         )
     )
-    return coded.select("rep", "code", F.inline(variants))
+    return coded.select("*", F.inline(variants))
 
 
 def found_here(a: Column, b: Column, slot: Column, a_flip: Column, b_flip: Column) -> Column:
@@ -103,19 +112,27 @@ def found_here(a: Column, b: Column, slot: Column, a_flip: Column, b_flip: Colum
     return here & ((a_flip < b_flip) | ((a_flip == NONE) & (b_flip == NONE)))
 
 
-def linked_pairs(vectors: DataFrame, dims: int, codes: Codes, cosine: float, radius: int) -> DataFrame:
-    """(a, b) of representatives, a < b, with a cosine of ``cosine`` or more."""
-    coded = settle(with_codes(vectors, dims, codes), "codes")
-    slots = entries(coded)
+def near_in(coded: DataFrame, i: int, radius: int) -> DataFrame:
+    """(a, b) of vectors near in their ``i``-th code and in none before it."""
+    earlier = [f"code{k}" for k in range(i)]
+    slots = entries(coded.select("rep", F.col(f"code{i}").alias("code"), *earlier))
     a, b = slots.alias("a"), slots.alias("b")
     x, y = F.col("a.code"), F.col("b.code")
-    near = a.join(
+    new = reduce(lambda c, k: c & (F.bit_count(F.col(f"a.{k}").bitwiseXOR(F.col(f"b.{k}"))) > radius), earlier, F.lit(True))
+    return a.join(
         b,
         (F.col("a.slot") == F.col("b.slot"))
         & (F.col("a.rep") < F.col("b.rep"))
         & (F.bit_count(x.bitwiseXOR(y)) <= radius)
+        & new
         & found_here(x, y, F.col("a.slot"), F.col("a.flip"), F.col("b.flip")),
     ).select(F.col("a.rep").alias("a"), F.col("b.rep").alias("b"))
+
+
+def linked_pairs(vectors: DataFrame, dims: int, codes: list[Codes], cosine: float, radius: int) -> DataFrame:
+    """(a, b) of representatives, a < b, with a cosine of ``cosine`` or more."""
+    coded = settle(with_codes(vectors, dims, codes), "codes")
+    near = reduce(DataFrame.unionByName, (near_in(coded, i, radius) for i in range(len(codes))))
     near = settle(near, "near-codes")
     left = coded.select(F.col("rep").alias("a"), F.col("unit").alias("u"), F.col("norm").alias("un"))
     right = coded.select(F.col("rep").alias("b"), F.col("unit").alias("v"), F.col("norm").alias("vn"))
@@ -142,7 +159,8 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     share = min(1.0, sample / max(n, 1))
     chosen = distinct.where(F.pmod(F.xxhash64("rep"), F.lit(parts)) < int(parts * share)).select("rep", "unit", "norm")
     learned = sorted((r["rep"], [v / r["norm"] for v in r["unit"]]) for r in chosen.collect())
-    codes = Codes(np.array([v for _, v in learned], float).reshape(-1, dims))
+    seen = np.array([v for _, v in learned], float).reshape(-1, dims)
+    codes = [Codes(seen, seed=seed) for seed in range(CODES)]
 
     # Codes are of unit vectors; a representative may stand for several rows with its id.
     scaled = distinct.select("rep", F.transform("unit", lambda v: v / F.col("norm")).alias("unit"), F.lit(1.0).alias("norm"))
