@@ -12,7 +12,7 @@ its ``GRAM``-byte hashes, and equal strings have it at the same place. So
    bucket by multikey quicksort (eight bytes at a time, only ties go on), and so are the reversed
    texts before the anchors. Neighbours' common prefixes then tell, for every offset, which strings
    are equal: those in the same run of suffixes with the rest of the string in common and the same
-   run of reversed texts with its beginning in common. Bytes decide, not hashes;
+   run of reversed texts with its beginning in common. Here bytes decide; in 2 and 4, hashes;
 4. equal leading bytes stay in one bucket, so no comparison crosses a boundary unless a gram has
    more contexts than a task's fair share. Such a bucket's strings are compared across all tasks
    by grouping their 128-bit fingerprints.
