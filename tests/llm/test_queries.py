@@ -23,6 +23,7 @@ COLUMNS = {
     "op8_warc": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
     "op9_simhash": {"doc_id", "fingerprint", "component_id"},
     "op10_toxicity": {"doc_id", "p_toxic", "p_strong", "p_severe", "toxic", "kept"},
+    "op12_config_packing": {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"},
 }
 OF = {"op2_html_text": "pages", "op7_embedding_itq": "embeddings", "op8_warc": "pages"}
 
@@ -32,7 +33,7 @@ def test_all_are_registered():
     assert set(COLUMNS) | {"pipeline"} <= set(__spark_entry__.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in COLUMNS if n != "op5_packing"])
+@pytest.mark.parametrize("name", [n for n in COLUMNS if n not in ("op5_packing", "op12_config_packing")])
 def test_a_row_per_row(spark, name):
     out = QUERIES[name](spark, SF)
     assert set(out.columns) == COLUMNS[name]

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import bpe, html_text, itq, packing, pii, quality, simhash, suffixes, toxicity, warc
+from tidebook.llm import bpe, config_packing, html_text, itq, packing, pii, quality, simhash, suffixes, toxicity, warc
 from tidebook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, chain)
     return scored.select("doc_id", "p_toxic", "p_strong", "p_severe", "toxic", (~F.col("toxic")).alias("kept"))
+
+
+@query
+def op12_config_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return config_packing.pack(docs, "doc_id", "text", with_ids=False).drop("ids")
