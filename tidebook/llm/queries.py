@@ -10,11 +10,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidebook.llm import bpe, config_packing, html_text, itq, packing, pii, quality, simhash, suffixes, toxicity, warc
+from tidebook.llm import bag_search, bpe, config_packing, html_text, importance, itq, packing, pii, quality, simhash, suffixes, toxicity, warc
 from tidebook.llm.common import table
+from tidebook.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -102,7 +102,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "p_toxic", "p_strong", "p_severe", "toxic", (~F.col("toxic")).alias("kept"))
 
 
+@query
+def op11_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return bag_search.search(docs, "doc_id", "text", items, "item_id", "text")
+
+
 @query
 def op12_config_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return config_packing.pack(docs, "doc_id", "text", with_ids=False).drop("ids")
+
+
+@query
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = importance.resample(docs, "doc_id", "text", table(spark, sf_dir, "benchmark"), "text")
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
