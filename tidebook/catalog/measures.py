@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidebook.catalog.base import Bound, add
+from tidebook.catalog.base import Bound, Once, add
 from tidebook.catalog.oracle import money, rate_avg, ratio_avg
 from tidebook.plans.measures import measure
 
@@ -112,3 +112,55 @@ add(
 SELECT month AS order_month, rev AS recognized_revenue, (rev - 500000) / 500000 AS revenue_vs_target_pct,
     CASE WHEN rev < 450000 THEN 'Off Target' WHEN rev < 500000 THEN 'Watch' ELSE 'On Target' END AS revenue_rag FROM r""",
 )
+
+# --- the same measures under a filter context ---------------------------------------
+
+
+def under(names: list[str], where: dict[str, str], by: tuple[str, ...] = ()):
+    """Measures whose filters and groups go through the star."""
+    return lambda b: measure(names, Once(lambda name: getattr(b.wh, name)), by, where)
+
+
+add(
+    "b13_sliced_by_customer",
+    under(
+        ["recognized_revenue", "recognized_orders", "active_mrr", "active_customers", "arpa"],
+        {"dim_customers": "company_size BETWEEN 100 AND 800"},
+        ("dim_customers.industry",),
+    ),
+    f"""WITH people AS (SELECT customer_id, industry FROM stg_customers WHERE company_size BETWEEN 100 AND 800)
+SELECT industry, rev AS recognized_revenue, n AS recognized_orders, active_mrr, live AS active_customers,
+    rev / nullif(live, 0) AS arpa
+FROM (SELECT industry, {money("recognized_revenue")} AS rev, count(*) FILTER (WHERE is_recognized) AS n
+    FROM stg_orders JOIN people USING (customer_id) GROUP BY industry)
+FULL JOIN (SELECT industry, {money("CASE WHEN is_active THEN mrr END")} AS active_mrr,
+        count(DISTINCT customer_id) FILTER (WHERE is_active) AS live
+    FROM stg_subscriptions JOIN people USING (customer_id) GROUP BY industry) USING (industry)""",
+)
+add(
+    "b14_sliced_by_date_and_tier",
+    under(
+        ["recognized_revenue", "avg_order_value", "refund_rate", "active_mrr", "marketing_spend"],
+        {"dim_date": "year = 1996", "customer_segments": "value_tier = 'Core'"},
+    ),
+    f"""SELECT rev AS recognized_revenue, rev / nullif(n, 0) AS avg_order_value, refund_rate, active_mrr, marketing_spend
+FROM (SELECT {money("recognized_revenue")} AS rev, count(*) FILTER (WHERE is_recognized) AS n,
+        CAST(count(*) FILTER (WHERE status = 'refunded') AS DOUBLE) / nullif(count(*), 0) AS refund_rate
+    FROM stg_orders JOIN scored USING (customer_id) WHERE value_tier = 'Core' AND year(order_date) = 1996),
+    (SELECT {money("CASE WHEN s.is_active THEN s.mrr END")} AS active_mrr
+    FROM stg_subscriptions s JOIN scored USING (customer_id) WHERE value_tier = 'Core'),
+    (SELECT {money("marketing_spend")} AS marketing_spend FROM kpi_monthly)""",
+)
+add(
+    "b15_calendar_measures_of_a_slice",
+    under(
+        ["recognized_revenue", "recognized_revenue_pm", "revenue_mom_pct", "revenue_ytd"],
+        {"dim_date": "year = 1997 AND month_num > 3", "dim_customers": "industry = 'MACHINERY'"},
+    ),
+    f"""WITH r AS (SELECT order_month AS month, {money("recognized_revenue")} AS rev
+    FROM stg_orders JOIN stg_customers USING (customer_id) WHERE industry = 'MACHINERY' GROUP BY 1),
+along AS (SELECT month, rev, (SELECT rev FROM r p WHERE r.month = p.month + INTERVAL 1 MONTH) AS pm,
+    CAST(sum(CAST(rev AS DECIMAL(18,4))) OVER (PARTITION BY year(month) ORDER BY month) AS DOUBLE) AS ytd FROM r)
+SELECT month, rev AS recognized_revenue, pm AS recognized_revenue_pm, (rev - pm) / nullif(pm, 0) AS revenue_mom_pct,
+    ytd AS revenue_ytd FROM along WHERE year(month) = 1997 AND month(month) > 3""",
+)

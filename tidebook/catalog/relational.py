@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidebook.catalog.base import Bound, add
+from tidebook.catalog.base import Bound, Once, add
 from tidebook.catalog.oracle import money, money_avg, rate_avg
 from tidebook.functions import (
     exact_mean,
@@ -26,6 +26,7 @@ from tidebook.operators.ranking import Ordering, distributed_ntile, distributed_
 from tidebook.operators.slicing import column_kinds, pivot_explore, slice_orders
 from tidebook.plans import analysis, dashboard
 from tidebook.plans.marts import customer_rollup, priority_totals, value_tier
+from tidebook.plans.star import Star
 from tidebook.session import settle
 
 # --- projections --------------------------------------------------------------
@@ -320,6 +321,80 @@ add(
     {money("o_totalprice")} AS net FROM orders GROUP BY ALL""",
 )
 
+def star(b: Bound) -> Star:
+    """The model over the marts; a mart is planned when a question needs it."""
+    return Star(Once(lambda name: getattr(b.wh, name)))
+
+
+add(
+    "j12_date_filters_orders",
+    lambda b: star(b).aggregate(
+        "fct_orders",
+        {"orders": F.count(F.lit(1)), "net": exact_sum(F.col("net_amount"))},
+        ["dim_date.month_start", "status"],
+        {"dim_date": "NOT is_weekend AND quarter = 2"},
+    ),
+    f"""SELECT CAST(date_trunc('month', order_date) AS DATE) AS month_start, status, count(*) AS orders, {money("net_amount")} AS net
+    FROM stg_orders WHERE dayofweek(order_date) BETWEEN 1 AND 5 AND quarter(order_date) = 2 GROUP BY ALL""",
+)
+add(
+    "j12_date_filters_daily_kpis",
+    lambda b: star(b).aggregate(
+        "kpi_daily",
+        {"sessions": F.sum("sessions"), "revenue": exact_sum(F.col("recognized_revenue"))},
+        ["dim_date.week_num"],
+        {"dim_date": "day_of_week = 1"},
+    ),
+    f"""SELECT CAST(weekofyear(date_key) AS INTEGER) AS week_num, CAST(sum(sessions) AS BIGINT) AS sessions,
+    {money("recognized_revenue")} AS revenue FROM kpi_daily WHERE dayofweek(date_key) = 1 GROUP BY ALL""",
+)
+add(
+    "j12_customer_filters_orders",
+    lambda b: star(b).aggregate(
+        "fct_orders",
+        {"orders": F.count(F.lit(1)), "revenue": exact_sum(F.col("recognized_revenue"))},
+        ["dim_customers.industry"],
+        {"dim_customers": "company_size >= 500 AND lifetime_orders > 3", "dim_date": "is_weekend"},
+    ),
+    f"""SELECT industry, count(*) AS orders, {money("recognized_revenue")} AS revenue
+    FROM stg_orders JOIN dim_customers USING (customer_id)
+    WHERE company_size >= 500 AND lifetime_orders > 3 AND dayofweek(order_date) IN (0, 6) GROUP BY industry""",
+)
+add(
+    "j12_customer_filters_subscriptions",
+    lambda b: star(b).aggregate(
+        "fct_subscriptions",
+        {"subscriptions": F.count(F.lit(1)), "mrr": exact_sum(F.col("mrr"))},
+        ["dim_customers.country", "status"],
+        {"dim_customers": "recency_days < 200"},
+    ),
+    f"""SELECT country, status, count(*) AS subscriptions, {money("s.mrr")} AS mrr
+    FROM stg_subscriptions s JOIN dim_customers USING (customer_id) WHERE recency_days < 200 GROUP BY country, status""",
+)
+add(
+    "j12_customer_filters_segments",
+    lambda b: star(b).aggregate(
+        "customer_segments",
+        {"customers": F.count(F.lit(1)), "revenue": exact_sum(F.col("lifetime_revenue"))},
+        ["value_tier", "dim_customers.country"],
+        {"dim_customers": "has_active_sub"},
+    ),
+    f"""SELECT value_tier, country, count(*) AS customers, {money("lifetime_revenue")} AS revenue
+    FROM scored WHERE has_active_sub GROUP BY value_tier, country""",
+)
+add(
+    "j12_segment_filters_orders",
+    lambda b: star(b).aggregate(
+        "fct_orders",
+        {"orders": F.count(F.lit(1)), "revenue": exact_sum(F.col("recognized_revenue"))},
+        ["dim_date.year"],
+        {"customer_segments": "value_tier = 'High-Value'", "dim_customers": "acquisition_channel <> 'Email'"},
+    ),
+    f"""SELECT CAST(year(order_date) AS INTEGER) AS year, count(*) AS orders, {money("recognized_revenue")} AS revenue
+    FROM stg_orders JOIN scored USING (customer_id)
+    WHERE value_tier = 'High-Value' AND acquisition_channel <> 'Email' GROUP BY ALL""",
+)
+
 # --- aggregates ---------------------------------------------------------------
 
 add(

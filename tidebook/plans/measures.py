@@ -1,15 +1,22 @@
-"""Named measures over the marts: one aggregate each, grouped and filtered on demand."""
+"""Named measures over the marts: one aggregate each, grouped and filtered on demand.
+
+A measure's filters and groups may name any table of the star (:mod:`tidebook.plans.star`): they reach
+the measure's table through its relationships.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidebook.functions import exact_mean, exact_sum, month_start, rate_mean, ratio_or_null, share_label, share_of
 from tidebook.plans.analysis import prior_month, year_to_date
+from tidebook.plans.star import Context, Star
 
 # Thresholds of the measure library.
 CHURN_TARGET = 0.055
@@ -114,27 +121,58 @@ def _expression(name: str) -> Column:
     return combine(*[_expression(p) for p in parts])
 
 
-def _monthly_revenue(tables: Mapping[str, DataFrame], where: Column | str | None) -> DataFrame:
-    facts = tables["fct_orders"]
-    if where is not None:
-        facts = facts.where(where)
+#: The marked date table: measures along the calendar clear the filters on it, then show the months it leaves.
+CALENDAR = "dim_date"
+
+
+def _context(tables: Mapping[str, DataFrame], where: Column | str | Context | None, table: str) -> DataFrame:
+    """``table`` under ``where``: a predicate is the table's own, a mapping goes through the star."""
+    if isinstance(where, Mapping):
+        return Star(tables).sliced(table, where)
+    return tables[table] if where is None else tables[table].where(where)
+
+
+def _monthly_revenue(tables: Mapping[str, DataFrame], where: Column | str | Context | None) -> DataFrame:
+    facts = _context(tables, where, "fct_orders").where("order_date is not null")
     month = month_start(F.col("order_date")).alias("month")
-    return facts.where("order_date is not null").groupBy(month).agg(
-        exact_sum(F.col("recognized_revenue")).alias("recognized_revenue")
-    )
+    return facts.groupBy(month).agg(exact_sum(F.col("recognized_revenue")).alias("recognized_revenue"))
+
+
+def _along_calendar(names: Sequence[str], tables: Mapping[str, DataFrame], where: Column | str | Context | None) -> DataFrame:
+    dated = isinstance(where, Mapping) and CALENDAR in where
+    undated = {t: p for t, p in where.items() if t != CALENDAR} if dated else where
+    monthly = _monthly_revenue(tables, undated)
+    before = prior_month(monthly, "recognized_revenue")
+    ytd = year_to_date(monthly, "recognized_revenue").drop("recognized_revenue")
+    both = before.join(ytd, "month")
+    if dated:
+        # The month's own revenue is that of the days left; a month with no day left is not shown.
+        months = tables[CALENDAR].where(where[CALENDAR]).select(month_start(F.col("date_key")).alias("month")).distinct()
+        shown = _monthly_revenue(tables, where)
+        both = both.drop("recognized_revenue").join(months, "month", "left_semi").join(shown, "month", "left")
+    now, pm = F.col("recognized_revenue"), F.col("recognized_revenue_pm")
+    columns = {
+        "recognized_revenue": now,
+        "recognized_revenue_pm": pm,
+        "revenue_mom_pct": ratio_or_null(now - pm, pm),
+        "revenue_ytd": F.col("recognized_revenue_ytd"),
+    }
+    return both.select("month", *[columns[n].alias(n) for n in names])
 
 
 def measure(
     name: str | Sequence[str],
     tables: Mapping[str, DataFrame],
     group_cols: Sequence[str] = (),
-    where: Column | str | None = None,
+    where: Column | str | Context | None = None,
 ) -> DataFrame:
     """One or several measures, per combination of ``group_cols``.
 
     All measures of a table share one aggregation. Measures over several tables are
-    joined on the groups, which each table involved must have; ``where`` applies to
-    every table.
+    joined on the groups: columns that each table involved has, or columns of a dimension
+    of all of them, as ``dim_customers.region``. ``where`` as one predicate applies to
+    every table; as a mapping from tables to predicates it is a filter context, which
+    goes through the star's relationships and leaves unrelated tables as they are.
     """
     names = [name] if isinstance(name, str) else list(name)
     unknown = [n for n in names if n not in MEASURES]
@@ -143,18 +181,7 @@ def measure(
     if any(n in BY_MONTH for n in names):
         if group_cols:
             raise ValueError("calendar measures come per month and take no further groups")
-        monthly = _monthly_revenue(tables, where)
-        before = prior_month(monthly, "recognized_revenue")
-        ytd = year_to_date(monthly, "recognized_revenue").drop("recognized_revenue")
-        both = before.join(ytd, "month")
-        now, pm = F.col("recognized_revenue"), F.col("recognized_revenue_pm")
-        columns = {
-            "recognized_revenue": now,
-            "recognized_revenue_pm": pm,
-            "revenue_mom_pct": ratio_or_null(now - pm, pm),
-            "revenue_ytd": F.col("recognized_revenue_ytd"),
-        }
-        return both.select("month", *[columns[n].alias(n) for n in names])
+        return _along_calendar(names, tables, where)
 
     leaves: list[str] = []
     for n in names:
@@ -163,15 +190,23 @@ def measure(
     for leaf in leaves:
         by_table.setdefault(SIMPLE[leaf].table, []).append(leaf)
 
-    keys = list(group_cols)
+    star, keys = Star(tables), [c.rpartition(".")[2] for c in group_cols]
     out: DataFrame | None = None
     for table, wanted in by_table.items():
-        df = tables[table] if where is None else tables[table].where(where)
+        if isinstance(where, Mapping) or any("." in c for c in group_cols):
+            df, _ = star.grouped(table, group_cols, where if isinstance(where, Mapping) else None)
+            df = df if where is None or isinstance(where, Mapping) else df.where(where)
+        else:
+            df = _context(tables, where, table)
         part = df.groupBy(*keys).agg(*[SIMPLE[leaf].aggregate().alias(leaf) for leaf in wanted])
         if out is None:
             out = part
         elif keys:
-            out = out.join(part, keys, "full")
+            # Customers without a dimension row are one group: NULL, on either side.
+            part = part.withColumnsRenamed({k: f"_{k}" for k in keys})
+            both = out.join(part, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]), "full")
+            either = [F.coalesce(k, f"_{k}").alias(k) for k in keys]
+            out = both.select(*either, *(c for c in out.columns if c not in keys), *wanted)
         else:
             out = out.crossJoin(F.broadcast(part))  # one row each
     return out.select(*keys, *[_expression(n).alias(n) for n in names])
