@@ -55,10 +55,37 @@ def item_terms(items: DataFrame, key: str, text: str) -> DataFrame:
     return settle(rows.mapInArrow(run, schema).where("size(terms) > 0"), "items")
 
 
+def wide(known: int) -> str:
+    """The type of a term's number."""
+    return "<u2" if known <= 1 << 16 else "<u4"
+
+
+def packed(bag: dict[int, int], kind: str) -> bytes:
+    """The numbers of a bag's terms, ascending, and their counts, after the bytes a count takes."""
+    held = sorted(bag)
+    counts = [bag[i] for i in held]
+    most = max(counts)
+    size = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4
+    return bytes([size]) + np.array(held, kind).tobytes() + np.array(counts, f"<u{size}").tobytes()
+
+
+def unpacked(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Term numbers and counts of a batch of vectors, one after the other, and how many each has."""
+    each = np.dtype(kind).itemsize
+    numbers, counts = [], []
+    for value in column:
+        data = value.as_buffer()
+        size = data[0]
+        n = (data.size - 1) // (each + size)
+        numbers.append(np.frombuffer(data, kind, n, 1))
+        counts.append(np.frombuffer(data, f"<u{size}", n, 1 + each * n).astype(np.int64))
+    return np.concatenate(numbers).astype(np.int64), np.concatenate(counts), np.array([len(c) for c in counts])
+
+
 def vectors(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:
-    """(_key, n, vec): number of terms, and the numbers of the known ones, ascending, with their counts."""
+    """(_key, n, vec): number of terms, and the :func:`packed` bag of the known ones, null if there is none."""
     schema = T.StructType([docs.schema[0], T.StructField("n", T.LongType()), T.StructField("vec", T.BinaryType())])
-    sent = docs.sparkSession.sparkContext.broadcast(vocabulary)  # of one block of items
+    sent, kind = docs.sparkSession.sparkContext.broadcast(vocabulary), wide(len(vocabulary))  # of one block of items
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {term: i for i, term in enumerate(sent.value)}.get
@@ -69,20 +96,12 @@ def vectors(docs: DataFrame, vocabulary: list[bytes]) -> DataFrame:
                 bag = Counter(map(number, words))
                 bag.pop(None, None)
                 sizes.append(len(words))
-                held = sorted(bag)
-                found.append(np.array([held, [bag[i] for i in held]], "<u4").tobytes() if held else None)
+                found.append(packed(bag, kind) if bag else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(found, pa.binary())], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
-def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Term numbers and counts of a batch of vectors, one after the other, and how many each has."""
-    parts = [np.frombuffer(v.as_buffer(), "<u4").reshape(2, -1) for v in column]
-    both = np.concatenate(parts, axis=1).astype(np.int64)
-    return both[0], both[1], np.array([p.shape[1] for p in parts])
-
-
 def document_counts(classes: DataFrame, known: int) -> np.ndarray:
     """How many documents hold each term of the block."""
 
@@ -90,7 +109,7 @@ def document_counts(classes: DataFrame, known: int) -> np.ndarray:
         total = np.zeros(known, np.int64)
         for batch in batches:
             if batch.num_rows:
-                numbers, _, sizes = unpacked(batch.column(0))
+                numbers, _, sizes = unpacked(batch.column(0), wide(known))
                 np.add.at(total, numbers, np.repeat(batch.column(1).to_numpy(), sizes))
         held = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array(total[held])], names=["term", "df"])
@@ -162,13 +181,13 @@ def best_classes(classes: DataFrame, weight: np.ndarray, block: list[list[int]],
     order = np.array([(t, i) for i, held in enumerate(block) for t in held], np.int64).reshape(-1, 2)
     order = order[np.argsort(order[:, 0], kind="stable")]
     first = np.concatenate([[0], np.cumsum(np.bincount(order[:, 0], minlength=len(weight)))])
-    sent = classes.sparkSession.sparkContext.broadcast((weight, first, order[:, 1].copy(), len(block), top))
+    sent, kind = classes.sparkSession.sparkContext.broadcast((weight, first, order[:, 1].copy(), len(block), top)), wide(len(weight))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*sent.value)
         for batch in batches:
             if batch.num_rows:
-                scorer.add(batch.column(0).to_numpy(), batch.column(1).to_numpy(), *unpacked(batch.column(2)))
+                scorer.add(batch.column(0).to_numpy(), batch.column(1).to_numpy(), *unpacked(batch.column(2), kind))
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in scorer.found()], names=["item", "score", "class"])
 
     in_order = classes.sortWithinPartitions(F.col("first").asc_nulls_last(), "class").select("class", "m", "vec")
