@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidebook.catalog.base import Bound, add
-from tidebook.operators.incremental import KEY_DIFF, full_refresh, merge_new, publish
+from tidebook.catalog.oracle import money
+from tidebook.functions import exact_sum
+from tidebook.operators.incremental import HIGH_WATER, KEY_DIFF, full_refresh, merge_new, publish
 from tidebook.operators.staging import Staged
+from tidebook.operators.versions import VersionedTable, read_table, replace_version
 from tidebook.plans.marts import fct_orders
 from tidebook.plans.warehouse import Warehouse
 from tidebook.session import scratch_path
@@ -69,6 +72,15 @@ def reused(b: Bound) -> DataFrame:
     return Warehouse(Staged.from_raw(landed)).kpi_monthly
 
 
+def reused_versions(b: Bound) -> DataFrame:
+    """The same from tables landed twice as versions, the first time without their rows."""
+    root = scratch_path(b.spark, "landed")
+    for name, df in b.raw_all().items():
+        replace_version(df.where("false"), f"{root}/{name}")
+        replace_version(df, f"{root}/{name}")
+    return Warehouse(Staged.from_raw({name: read_table(b.spark, f"{root}/{name}") for name in b.raw})).kpi_monthly
+
+
 def streamed(b: Bound) -> DataFrame:
     """Order files arrive in two lots; each run picks up what is new."""
     inbox, target, log = (scratch_path(b.spark, n) for n in ("inbox", "fct_orders", "stream-log"))
@@ -93,6 +105,50 @@ def out_of_order(b: Bound) -> DataFrame:
     return b.spark.read.parquet(target).select(*fct_orders(b.staged.orders, b.staged.customers).columns)
 
 
+def fact_table(b: Bound) -> VersionedTable:
+    return VersionedTable(b.spark, scratch_path(b.spark, "fct_orders"), "order_id", "order_month")
+
+
+def streamed_versions(b: Bound) -> DataFrame:
+    """Loads that share every day and moment, into a versioned fact: its keys say which months each concerns."""
+    inbox, target, log = (scratch_path(b.spark, n) for n in ("inbox", "fct_orders", "stream-log"))
+    raw = b.raw["orders"]
+    for lot in range(2):
+        raw.where(F.pmod(F.xxhash64("order_id"), F.lit(2)) == lot).write.mode("append").parquet(inbox)
+        stream = order_stream(b.spark, inbox, raw.schema, "parquet")
+        run_incremental(stream, b.staged.customers, target, log, versioned=True).awaitTermination()
+    return VersionedTable(b.spark, target).read().select(*fct_orders(b.staged.orders, b.staged.customers).columns)
+
+
+def repaired(b: Bound) -> DataFrame:
+    """Stored refunds of one quarter carry an outdated status; the whole extract comes again."""
+    table, facts = fact_table(b), b.wh.fct_orders
+    outdated = F.expr("status = 'refunded' AND order_month BETWEEN DATE '1996-01-01' AND DATE '1996-03-01'")
+    table.replace(facts.withColumn("status", F.when(outdated, "completed").otherwise(F.col("status"))))
+    table.publish(facts)
+    return table.read().select(*facts.columns)
+
+
+def versions_of_a_refresh(b: Bound) -> DataFrame:
+    """Rows and revenue by month of the version before a refresh and the one after it."""
+    table = fact_table(b)
+    table.replace(loaded_so_far(b))
+    table.replace(b.wh.fct_orders)
+    parts = [
+        table.read(v).groupBy("order_month").agg(F.count(F.lit(1)).alias("orders"), exact_sum(F.col("recognized_revenue")).alias("revenue"))
+        .withColumn("version", F.lit(v)) for v in table.versions()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def columns_by_version(b: Bound) -> DataFrame:
+    """The open month brings a column and lacks another; older months keep their files."""
+    table = fact_table(b)
+    table.replace(loaded_so_far(b))
+    table.publish(b.wh.fct_orders.withColumn("currency", F.lit("USD")).drop("discount_pct"), mode=HIGH_WATER)
+    return table.read().drop("gross_amount")
+
+
 add("i1_incremental_high_water", lambda b: merge_new(loaded_so_far(b), b.wh.fct_orders), "SELECT * FROM fct_orders")
 add("i1_incremental_published", published, "SELECT * FROM fct_orders")
 add("i1_incremental_streamed", streamed, "SELECT * FROM fct_orders")
@@ -111,4 +167,20 @@ add(
     """SELECT order_id, net_amount, CASE WHEN order_month = (SELECT max(order_month) FROM stg_orders) THEN 'USD' END AS currency
     FROM stg_orders""",
 )
+add("i1_versioned_stream", streamed_versions, "SELECT * FROM fct_orders")
+add("i1_versioned_key_diff", repaired, "SELECT * FROM fct_orders")
+add(
+    "i2_versions_of_a_refresh",
+    versions_of_a_refresh,
+    f"""SELECT order_month, count(*) AS orders, {money("recognized_revenue")} AS revenue, CAST(v AS INTEGER) AS version
+    FROM stg_orders, range(1, 3) t(v)
+    WHERE v = 2 OR order_month < (SELECT max(order_month) FROM stg_orders) GROUP BY order_month, v""",
+)
+add(
+    "i3_columns_by_version",
+    columns_by_version,
+    """SELECT * EXCLUDE (discount_pct, gross_amount),
+    CASE WHEN order_month = (SELECT max(order_month) FROM stg_orders) THEN 'USD' END AS currency FROM fct_orders""",
+)
 add("i4_reuse_landed", reused, "SELECT * FROM kpi_monthly")
+add("i4_reuse_landed_versions", reused_versions, "SELECT * FROM kpi_monthly")

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from tidebook.operators.quality import freshness, reconcile, run_checks, verdict
 from tidebook.operators.staging import Staged
+from tidebook.operators.versions import read_table, replace_version
 from tidebook.plans.warehouse import Warehouse, mart_suite, source_suite, staging_suite
-from tidebook.sources import RAW_SCHEMAS, land
+from tidebook.sources import RAW_SCHEMAS, land, replace_table
 
 
 def landed_tables(spark: SparkSession, landed_dir: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{landed_dir}/{name}") for name in RAW_SCHEMAS}
+    return {name: read_table(spark, f"{landed_dir}/{name}") for name in RAW_SCHEMAS}
 
 
 def freshness_verdicts(landed: dict[str, DataFrame], as_of: str) -> DataFrame:
@@ -47,13 +48,15 @@ def run_daily(
     export_dir: str,
     fmt: str = "both",
     as_of: str | None = None,
+    versioned: bool = False,
 ) -> DataFrame:
-    """One refresh. Without ``source_dir`` the tables landed before are used again.
+    """One refresh. Without ``source_dir`` the tables landed before are used again. With ``versioned``
+    a table lands as a new version, so that a lost job leaves the landed tables as they were.
 
     Returns the export manifest; raises when a test fails, before anything is exported.
     """
     if source_dir is not None:
-        land(spark, source_dir, landed_dir)
+        land(spark, source_dir, landed_dir, replace=replace_version if versioned else replace_table)
     landed = landed_tables(spark, landed_dir)
     warehouse = Warehouse(Staged.from_raw(landed)).settled()
     return warehouse.export(export_dir, fmt, checks=all_checks(landed, warehouse, as_of))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -84,9 +84,14 @@ def row_floor(count: int, minimum: int = 50_000) -> str:
     return "warn" if count < minimum else "pass"
 
 
-def land(spark: SparkSession, source_dir: str, landed_dir: str, events: str = "array") -> dict[str, int]:
+def land(
+    spark: SparkSession, source_dir: str, landed_dir: str, events: str = "array", replace: Callable[[DataFrame, str], int] = replace_table
+) -> dict[str, int]:
     """Land the five CSV extracts and the JSON events; returns rows per table.
 
+    ``replace`` writes a table to a path: :func:`replace_table`, which overwrites in place, or
+    ``tidebook.operators.versions.replace_version``, by which readers keep the old table until the new one is whole.
+
     ``events`` names the form of ``events.json``: an ``array`` (one task per file), or
     ``lines``, which large feeds should come as because they split.
     """
@@ -99,5 +104,5 @@ def land(spark: SparkSession, source_dir: str, landed_dir: str, events: str = "a
             rows = flatten(read_events(spark, f"{source_dir}/events.json", schema), "properties")
         else:
             rows = read_csv(spark, f"{source_dir}/{name}.csv", schema)
-        counts[name] = replace_table(stamp(rows), f"{landed_dir}/{name}")
+        counts[name] = replace(stamp(rows), f"{landed_dir}/{name}")
     return counts

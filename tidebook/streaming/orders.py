@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidebook.operators.incremental import KEY_DIFF, publish
 from tidebook.operators.staging import stg_orders
+from tidebook.operators.versions import VersionedTable
 from tidebook.plans.marts import fct_orders
 from tidebook.sources.schemas import ORDERS
 
@@ -30,6 +31,7 @@ def run_incremental(
     checkpoint: str,
     mode: str = KEY_DIFF,
     continuous: str | None = None,
+    versioned: bool = False,
 ) -> StreamingQuery:
     """Stage each micro-batch, enrich it, and publish it to the fact at ``target``.
 
@@ -37,13 +39,18 @@ def run_incremental(
     ``"10 minutes"``). Files may arrive in any order and be cut into any batches: by
     default rows are told by key, so a row at or before what is already loaded is not
     lost, and a batch that is replayed after a failure adds what is still missing and
-    nothing else. The price is a scan of the stored fact per batch. ``high_water`` reads
-    only the newest month, but takes each *batch* for one whole load: use it only where
+    nothing else. The price is a scan of the stored fact per batch; with ``versioned`` the
+    target is a :class:`VersionedTable`, whose sorted keys say which months a batch concerns,
+    and readers see every batch whole or not at all. ``high_water`` reads only the newest month, but takes each *batch* for one whole load: use it only where
     a load is one batch (no ``files_per_batch``) and everything in it is later than the last.
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        publish(fct_orders(stg_orders(batch), customers), target, mode=mode)
+        rows = fct_orders(stg_orders(batch), customers)
+        if versioned:
+            VersionedTable(batch.sparkSession, target, "order_id", "order_month").publish(rows, mode=mode)
+        else:
+            publish(rows, target, mode=mode)
 
     writer = raw_orders.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     if continuous:
