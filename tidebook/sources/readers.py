@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidebook.sources.json_array import read_array
 from tidebook.sources.schemas import EVENT_FIELDS, RAW_SCHEMAS
 
 
@@ -20,23 +21,14 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None =
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
-    """Files that hold one JSON array each.
+    """Files that hold one JSON array of objects each, of any size: many tasks read a file.
 
-    A file is one task, because an array cannot be split: large feeds should be
-    many files, or JSON lines (:func:`read_json_lines`), which do split. Each file is
-    read as text and parsed as an array, so a file that holds anything else, or anything
-    after its array, fails the read instead of losing rows. Without a schema the files
-    are read twice, once to infer it.
+    A file that holds anything else, or anything after its array, fails the read instead of
+    losing rows; a blank file is an empty array. See :mod:`tidebook.sources.json_array`.
     """
-    if schema is None:
-        schema = spark.read.option("multiLine", True).json(path).schema
-    element = schema if isinstance(schema, str) else schema.simpleString()
-    kind = element if element.startswith("struct<") else f"struct<{element}>"
-    whole = spark.read.option("wholetext", True).text(path)
-    # A blank file is an empty array. Text between the last ] and the end, or a ] [ between two arrays, is not JSON.
-    parsed = F.from_json(F.concat(F.lit('{"rows":'), F.col("value"), F.lit("}")), f"struct<rows: array<{kind}>>", {"mode": "FAILFAST"})
-    rows = F.when(F.trim(F.col("value")) != "", parsed["rows"])
-    return whole.select(F.explode(rows).alias("r")).select("r.*")
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    return read_array(spark, path, schema)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
@@ -92,8 +84,7 @@ def land(
     ``replace`` writes a table to a path: :func:`replace_table`, which overwrites in place, or
     ``tidebook.operators.versions.replace_version``, by which readers keep the old table until the new one is whole.
 
-    ``events`` names the form of ``events.json``: an ``array`` (one task per file), or
-    ``lines``, which large feeds should come as because they split.
+    ``events`` names the form of ``events.json``: an ``array``, or ``lines``, which are read in one pass.
     """
     if events not in ("array", "lines"):
         raise ValueError(f"events come as 'array' or 'lines', not {events!r}")
