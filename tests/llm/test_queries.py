@@ -5,11 +5,12 @@ from __future__ import annotations
 import hashlib
 import re
 
+import duckdb
 import pytest
 
 import __spark_entry__
 from tidebook.llm.common import table
-from tidebook.llm.queries import QUERIES
+from tidebook.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = {
@@ -23,7 +24,9 @@ COLUMNS = {
     "op8_warc": {"page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"},
     "op9_simhash": {"doc_id", "fingerprint", "component_id"},
     "op10_toxicity": {"doc_id", "p_toxic", "p_strong", "p_severe", "toxic", "kept"},
+    "op11_bag_search": {"item_id", "rank", "doc_id", "score"},
     "op12_config_packing": {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"},
+    "op13_importance": {"doc_id", "n_features", "weight", "score", "rank"},
 }
 OF = {"op2_html_text": "pages", "op7_embedding_itq": "embeddings", "op8_warc": "pages"}
 
@@ -33,7 +36,7 @@ def test_all_are_registered():
     assert set(COLUMNS) | {"pipeline"} <= set(__spark_entry__.queries())
 
 
-@pytest.mark.parametrize("name", [n for n in COLUMNS if n not in ("op5_packing", "op12_config_packing")])
+@pytest.mark.parametrize("name", [n for n in COLUMNS if n not in ("op5_packing", "op11_bag_search", "op12_config_packing")])
 def test_a_row_per_row(spark, name):
     out = QUERIES[name](spark, SF)
     assert set(out.columns) == COLUMNS[name]
@@ -46,3 +49,16 @@ def test_digests(spark):
         assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
     for r in QUERIES["op9_simhash"](spark, SF).collect():
         assert re.fullmatch("[0-9a-f]{16}", r["fingerprint"])
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    rel = con.sql(ORACLE[name])
+    got = QUERIES[name](spark, SF)
+    at = [got.columns.index(c) for c in rel.columns]
+    key = lambda row: tuple((v is not None, v) for v in row)
+    ours = sorted((tuple(r[i] for i in at) for r in got.collect()), key=key)
+    assert ours and ours == sorted(map(tuple, rel.fetchall()), key=key)
