@@ -239,9 +239,10 @@ def search(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str
     out, known = [], None
     for b in range(blocks):
         block = asked.where(F.pmod(F.xxhash64("_item"), F.lit(blocks)) == b).select("_item", "terms").collect()  # about ITEMS, TERMS
-        if block or b == 0:
+        if block:
             found, known = search_block(spark, docs, block, known, top)
             out.append(settle(found, "found"))
-    found = reduce(DataFrame.unionByName, out)
+    none = T.StructType([T.StructField("_item", T.LongType()), docs.schema[0], T.StructField("rank", T.IntegerType()), T.StructField("score", T.LongType())])
+    found = reduce(DataFrame.unionByName, out) if out else spark.createDataFrame([], none)
     named = asked.select("_item", F.col("_key").alias("_asked"))
     return found.join(named, "_item").select(F.col("_asked").alias(item_key), "rank", F.col("_key").alias(key), "score")

@@ -82,9 +82,11 @@ def scanned(texts: list[bytes]) -> Iterator[np.ndarray]:
         plain.append(found if long else None)
         if not long:
             words.update(found)
+    # The automaton's integers have 32 bits: they number the payloads.
+    payloads = np.fromiter(map(payload, words), np.int64, len(words))
     dictionary = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    for word in words:
-        dictionary.add_word(f" {word.decode('latin-1')} ", payload(word))
+    for i, word in enumerate(words):
+        dictionary.add_word(f" {word.decode('latin-1')} ", i)
     if words:
         dictionary.make_automaton()
     emitted = itemgetter(1)
@@ -92,7 +94,7 @@ def scanned(texts: list[bytes]) -> Iterator[np.ndarray]:
         if found is not None:
             yield np.fromiter(map(payload, found), np.int64)
         elif words:
-            yield np.fromiter(map(emitted, dictionary.iter(f" {text.decode('latin-1')} ")), np.int64)
+            yield payloads[np.fromiter(map(emitted, dictionary.iter(f" {text.decode('latin-1')} ")), np.int64)]
         else:
             yield np.empty(0, np.int64)
 
@@ -173,9 +175,9 @@ def counted(df: DataFrame, buckets: int) -> np.ndarray:
 def gains(source: np.ndarray, target: np.ndarray) -> np.ndarray:
     """floor(1000 ln of the smoothed target share over the smoothed source share) of each bucket."""
     buckets = len(source)
-    over = [float(t + 1) * float(target.sum() + buckets) for t in source]
-    upon = [float(t + 1) * float(source.sum() + buckets) for t in target]
-    return np.array([math.floor(1000 * math.log(u / o)) for u, o in zip(upon, over, strict=True)], np.int64)
+    of_target = [float(t + 1) * float(source.sum() + buckets) for t in target]
+    of_source = [float(s + 1) * float(target.sum() + buckets) for s in source]
+    return np.array([math.floor(1000 * math.log(t / s)) for t, s in zip(of_target, of_source, strict=True)], np.int64)
 
 
 def weighed(df: DataFrame, gain: np.ndarray) -> DataFrame:
