@@ -128,3 +128,41 @@ def test_repeated_key_and_id_are_counted(spark):
     ends = places_at(df, [(Ordering("v"), [1, 1000, 1500, 3000])], rows_per_range=100)[0]
     rows = df.orderBy("v", "customer_id").collect()
     assert [(p.value, p.id) for p in ends] == [(rows[k - 1]["v"], rows[k - 1]["customer_id"]) for k in (1, 1000, 1500, 3000)]
+
+
+def test_passes_do_not_grow_with_the_orderings(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SAMPLE", 400)
+    columns = [F.sin("id") * 100, F.pmod("id", F.lit(7)).cast("double"), -F.col("id").cast("double"), F.cos("id")]
+    base = settle(spark.range(4000).select(F.col("id").alias("customer_id"), *(c.alias(f"v{i}") for i, c in enumerate(columns))))
+
+    def rows_read(n):
+        seen = spark.sparkContext.accumulator(0)
+
+        def tell(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        read = base.mapInArrow(tell, base.schema)
+        orderings = [Ordering(f"v{i}", descending=i == 3) for i in range(n)]
+        places = places_at(read, [(o, [400, 2000, 3999]) for o in orderings], 4000, rows_per_range=1000)
+        for o, found in zip(orderings, places, strict=True):
+            order = Window.orderBy(*o.columns())
+            ranked = base.withColumn("r", F.row_number().over(order)).where("r IN (400, 2000, 3999)").orderBy("r")
+            assert [(r[o.key], r["customer_id"]) for r in ranked.collect()] == [(p.value, p.id) for p in found]
+        return seen.value
+
+    one, four = rows_read(1), rows_read(4)
+    assert four <= one + 3 * 4000  # a round more at most, and what is left is written once
+
+
+def test_running_sums_shuffle_the_rows_once(spark, skewed):
+    """What is written is bucketed by range, so that the window needs no exchange of its own."""
+    got = prefix_sum(skewed, "v", Ordering("v", descending=True), rows_per_range=300)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "hashpartitioning(_range" not in plan.split("BroadcastExchange")[0]
+    order = Window.orderBy(F.col("v").desc_nulls_last(), "customer_id")
+    want = F.sum(F.coalesce(F.col("v"), F.lit(0.0)).cast("decimal(20,2)")).over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("double")
+    both = got.withColumn("w", want).withColumn("p", F.row_number().over(order))
+    assert both.where("rank <> p OR abs(running - w) > 1e-9").count() == 0 and both.count() == 3000
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("ranked")]

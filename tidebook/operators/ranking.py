@@ -12,7 +12,7 @@ A window without a partition key sends every row to one task. Here
 * tiles then follow from comparing each row with the tile ends: the rows themselves
   are neither shuffled nor sorted;
 * ranks and running sums of all rows use Spark's range partitioning and per-range
-  offsets.
+  offsets; rows are shuffled once.
 
 ``df`` is read more than once: pass a table or a settled frame. The driver holds
 counts per interval and bounded samples, nothing that grows with the data.
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidebook.functions import exact_units, from_units, no_units
-from tidebook.session import settle
+from tidebook.session import settle, settle_bucketed
 
 #: Rows one task may sort.
 ROWS_PER_RANGE = 1_000_000
@@ -39,6 +39,8 @@ ROWS_PER_RANGE = 1_000_000
 SAMPLE = 16_384
 #: Offsets of this many ranges are sent to every task; more are joined.
 BROADCAST_RANGES = 100_000
+#: Buckets a written table may have (Spark's own limit unless set higher).
+MOST_BUCKETS = 100_000
 
 
 @dataclass(frozen=True)
@@ -88,19 +90,18 @@ class Place:
 
 
 class _Search:
-    """The hunt for the rows at some ranks of one ordering."""
+    """The hunt for the rows at some ranks of one ordering, whose key is column ``value``."""
 
-    def __init__(self, df: DataFrame, ordering: Ordering, ranks: Sequence[int], rows: int):
-        self.ordering = ordering
-        self.schema = df.schema
-        self.rows_of = df.select(F.col(ordering.key).alias("_value"), F.col(ordering.id))
+    def __init__(self, df: DataFrame, number: int, ordering: Ordering, ranks: Sequence[int], rows: int):
+        self.number, self.ordering, self.schema = number, ordering, df.schema
+        self.value = f"_value{number}"
         self.ranks = sorted(set(ranks))
         self.cuts: list[Place] = []  # interval i lies after cuts[i - 1], up to and with cuts[i]
         self.sizes = {0: rows}
 
     def interval(self) -> Column:
         """The interval a row falls into: how many cuts lie before it."""
-        steps = [self.ordering.after(c, self.schema, F.col("_value")).cast("int") for c in self.cuts]
+        steps = [self.ordering.after(c, self.schema, F.col(self.value)).cast("int") for c in self.cuts]
         return reduce(lambda a, b: a + b, steps, F.lit(0))
 
     def targets(self) -> dict[int, list[int]]:
@@ -114,71 +115,91 @@ class _Search:
             before += size
         return found
 
-    def narrow(self, limit: int, turn: int) -> bool:
-        """One round of sampling and counting; False when it is time to sort what is left."""
-        wide = {i: r for i, r in self.targets().items() if self.sizes[i] > limit}
-        if not wide:
-            return False
+    def wide(self, limit: int) -> dict[int, list[int]]:
+        """Intervals too large to be sorted by one task, with the ranks wanted there."""
+        return {i: r for i, r in self.targets().items() if self.sizes[i] > limit}
+
+    def sample(self, wide: dict[int, list[int]]) -> Column:
+        """About SAMPLE rows of each wide interval, as one aggregate."""
         # Drawn by chance, row by row: rows that share key and id are not drawn together, and what
         # a rerun task draws instead changes the speed, not the result.
-        chance = reduce(lambda e, i: e.when(F.col("_interval") == i, F.lit(SAMPLE / self.sizes[i])), wide, F.when(F.lit(False), 0.0))
-        samples = (
-            self.rows_of.withColumn("_interval", self.interval())
-            .where(F.rand(turn) < chance)
-            .groupBy("_interval")
-            .agg(F.collect_list(F.struct("_value", self.ordering.id)).alias("s"))
-            .collect()  # about SAMPLE rows per interval
-        )
+        at = self.interval()
+        chance = reduce(lambda e, i: e.when(at == i, F.lit(SAMPLE / self.sizes[i])), wide, F.when(F.lit(False), 0.0))
+        row = F.struct(at.alias("interval"), F.col(self.value).alias("value"), F.col(self.ordering.id).alias("id"))
+        return F.collect_list(F.when(F.col(f"_chance{self.number}") < chance, row))
+
+    def cut(self, sample: list, wide: dict[int, list[int]]) -> bool:
+        """Cuts just around the wanted ranks; False if the sample cannot tell them from their neighbours."""
         in_order = cmp_to_key(self.ordering.compare)
+        by_interval: dict[int, list[Place]] = {}
+        for row in sample:
+            by_interval.setdefault(row["interval"], []).append(Place(row["value"], row["id"]))
         cuts = {(c.known_value(), c.id): c for c in self.cuts}
-        for row in samples:
-            sample, size = sorted((Place(v, i) for v, i in row["s"]), key=in_order), self.sizes[row["_interval"]]
-            for rank in wide[row["_interval"]]:
-                share = rank / size
-                middle = share * len(sample)
-                slack = 4 * math.sqrt(len(sample) * share * (1 - share)) + 2
+        for i, places in by_interval.items():
+            places.sort(key=in_order)
+            for rank in wide[i]:
+                share = rank / self.sizes[i]
+                middle = share * len(places)
+                slack = 4 * math.sqrt(len(places) * share * (1 - share)) + 2
                 for at in (math.floor(middle - slack), math.ceil(middle + slack)):
-                    if 0 <= at < len(sample):
-                        cuts.setdefault((sample[at].known_value(), sample[at].id), sample[at])
+                    if 0 <= at < len(places):
+                        cuts.setdefault((places[at].known_value(), places[at].id), places[at])
         if len(cuts) == len(self.cuts):
-            return False  # the sample cannot tell the wanted rank from its neighbours
+            return False
         self.cuts = sorted(cuts.values(), key=in_order)
-        counted = self.rows_of.groupBy(self.interval().alias("_interval")).agg(F.count(F.lit(1)).alias("n"))
-        self.sizes = {r["_interval"]: r["n"] for r in counted.collect()}  # a few per wanted rank
-        self._merge_idle()
         return True
 
-    def _merge_idle(self) -> None:
-        """Forget cuts between intervals that hold no wanted rank."""
+    def merge_idle(self, sizes: dict[int, int]) -> None:
+        """Take the intervals' sizes; forget cuts between intervals that hold no wanted rank."""
+        self.sizes = sizes
         held = self.targets()
-        cuts, sizes, size = [], {}, 0
+        cuts, merged, size = [], {}, 0
         for i in range(len(self.cuts) + 1):
             size += self.sizes.get(i, 0)
             if i == len(self.cuts) or i in held or i + 1 in held:
-                sizes[len(cuts)] = size
+                merged[len(cuts)] = size
                 size = 0
                 if i < len(self.cuts):
                     cuts.append(self.cuts[i])
-        self.cuts, self.sizes = cuts, sizes
+        self.cuts, self.sizes = cuts, merged
 
-    def found(self) -> dict[int, Place]:
+    def found(self, left: DataFrame) -> dict[int, Place]:
         """Rank -> place. Sorts what is left, one task per interval; equal rows are one row with a count."""
         targets = self.targets()
-        id = F.col(self.ordering.id)
-        left = self.rows_of.withColumn("_interval", self.interval()).where(F.col("_interval").isin(sorted(targets)))
-        counted = left.groupBy("_interval", "_value", id).agg(F.count(F.lit(1)).alias("_n"))
-        upto = Window.partitionBy("_interval").orderBy(*self.ordering.columns(F.col("_value"), id))
+        id, value = F.col(self.ordering.id), F.col(self.value)
+        left = left.withColumn("_interval", self.interval()).where(F.col("_interval").isin(sorted(targets)))
+        counted = left.groupBy("_interval", value, id).agg(F.count(F.lit(1)).alias("_n"))
+        upto = Window.partitionBy("_interval").orderBy(*self.ordering.columns(value, id))
         counted = counted.withColumn("_upto", F.sum("_n").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
         wanted = [(i, offset) for i, offsets in sorted(targets.items()) for offset in offsets]
         hit = [(F.col("_interval") == i) & (F.col("_upto") >= o) & (F.col("_upto") - F.col("_n") < o) for i, o in wanted]
         rows = counted.where(reduce(or_, hit)).collect()  # a row per wanted rank at most
         ranks = dict(zip(wanted, self.ranks, strict=True))
         return {
-            rank: next(Place(r["_value"], r[self.ordering.id]) for r in rows if r["_interval"] == i and r["_upto"] - r["_n"] < o <= r["_upto"])
+            rank: next(Place(r[self.value], r[self.ordering.id]) for r in rows if r["_interval"] == i and r["_upto"] - r["_n"] < o <= r["_upto"])
             for (i, o), rank in ranks.items()
         }
 
 
+def _narrow(rows: DataFrame, searches: Sequence[_Search], limit: int, turn: int) -> bool:
+    """One round for all searches: a pass that samples, a pass that counts. False when nothing is left to narrow."""
+    wide = {s.number: w for s in searches if (w := s.wide(limit))}
+    if not wide:
+        return False
+    active = [s for s in searches if s.number in wide]
+    drawn = rows.select("*", *(F.rand(turn * len(searches) + s.number).alias(f"_chance{s.number}") for s in active))
+    samples = drawn.agg(*(s.sample(wide[s.number]).alias(f"s{s.number}") for s in active)).first()  # bounded by SAMPLE
+    # The samples of an ordering may not tell a wanted rank from its neighbours: then it is time to sort.
+    cut = [s for s in active if s.cut(samples[f"s{s.number}"], wide[s.number])]
+    if not cut:
+        return False
+    each = F.explode(F.array(*(F.struct(F.lit(s.number).alias("search"), s.interval().alias("interval")) for s in cut)))
+    counted = rows.select(each.alias("at")).groupBy("at.search", "at.interval").agg(F.count(F.lit(1)).alias("n")).collect()
+    for s in cut:  # a few intervals per wanted rank
+        s.merge_idle({r["interval"]: r["n"] for r in counted if r["search"] == s.number})
+    return True
+
+
 def places_at(
     df: DataFrame,
     wanted: Sequence[tuple[Ordering, Sequence[int]]],
@@ -187,24 +208,27 @@ def places_at(
 ) -> list[list[Place]]:
     """The places of the rows at the given 1-based ranks (at most ``rows``), exactly.
 
-    Each round keeps a few percent of the rows, so a billion rows take two rounds
-    before what is left can be sorted by one task per interval.
+    All orderings are searched in the same passes. Each round keeps a few percent of the rows, so a
+    billion rows take two rounds before what is left is written once, for one task per interval to sort.
     """
     rows = df.count() if rows is None else rows
     if rows == 0 or not any(ranks for _, ranks in wanted):
         return [[] for _ in wanted]
-    searches: dict[Ordering, _Search] = {}
-    for ordering, ranks in wanted:
-        known = searches[ordering].ranks if ordering in searches else []
-        searches[ordering] = _Search(df, ordering, [*known, *ranks], rows)
-    places = {}
-    for ordering, search in searches.items():
-        turn = 0
-        while search.narrow(rows_per_range, turn):
-            turn += 1
-        if search.ranks:
-            places[ordering] = search.found()
-    return [[places[ordering][rank] for rank in ranks] for ordering, ranks in wanted]
+    ranks: dict[Ordering, list[int]] = {}
+    for ordering, some in wanted:
+        ranks.setdefault(ordering, []).extend(some)
+    searches = {o: _Search(df, i, o, r, rows) for i, (o, r) in enumerate(ranks.items()) if r}
+    keys = [F.col(s.ordering.key).alias(s.value) for s in searches.values()]
+    read = df.select(*keys, *dict.fromkeys(o.id for o in searches))
+    turn = 0
+    while _narrow(read, list(searches.values()), rows_per_range, turn):
+        turn += 1
+    left = read
+    if turn and len(searches) > 1:
+        wide = [s.interval().isin(sorted(s.targets())) for s in searches.values()]
+        left = settle(read.where(reduce(or_, wide)), "left")
+    places = {o: s.found(left) for o, s in searches.items()}
+    return [[places[o][rank] for rank in some] for o, some in wanted]
 
 
 def tile_ends(rows: int, tiles: int) -> list[int]:
@@ -252,15 +276,16 @@ def prefix_sum(
     units = F.coalesce(exact_units(F.col(value)), no_units()) if value else F.lit(0).cast("bigint")
     # The id holds the partition above bit 33 and the position in it below.
     position = F.monotonically_increasing_id()
-    placed = settle(
+    placed = (
         df.withColumn("_units", units)
         .repartitionByRange(ranges, *ordering.columns())
         .sortWithinPartitions(*ordering.columns())
         .withColumn("_position", position)
         .withColumn("_range", F.shiftright("_position", 33).cast("int"))
-        .withColumn("_row", F.col("_position").bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(1)),
-        "ranked",
+        .withColumn("_row", F.col("_position").bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(1))
     )
+    # The running sum goes range by range: files that are bucketed by range need no second shuffle.
+    placed = settle_bucketed(placed, "_range", min(ranges, MOST_BUCKETS), "ranked") if value else settle(placed, "ranked")
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_range")

@@ -67,6 +67,20 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle_bucketed(df: DataFrame, column: str, buckets: int, label: str = "settled") -> DataFrame:
+    """:func:`settle` into files bucketed by ``column``: a window or join by it reads them without a shuffle.
+
+    The table is known to the catalog only until the scan is made; its files stay.
+    """
+    spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
+    writer = df.write.bucketBy(buckets, column).sortBy(column).format("parquet")
+    writer.option("path", scratch_path(spark, label)).saveAsTable(name)
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def settle_counted(df: DataFrame, label: str = "settled") -> tuple[DataFrame, int]:
     """:func:`settle`, with the row count taken while writing (no second scan)."""
     seen = Observation()
