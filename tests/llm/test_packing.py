@@ -17,7 +17,6 @@ from tidebook.llm.common import table
 @pytest.fixture(scope="module")
 def plain():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
@@ -68,6 +67,11 @@ def test_odd_texts(spark, odd, plain):
     check(packing.pack(rows, "doc_id", "text", with_ids=False).collect(), texts, plain)
 
 
+def test_a_special_token_in_a_text(spark, docs_of, plain):
+    texts = {1: "x <|endoftext|> y", 2: "<|endoftext|>" * 1500, 3: "<|endoftext|"}
+    check([r.asDict() for r in packing.pack(docs_of(texts.items()), "doc_id", "text").collect()], texts, plain)
+
+
 def test_repeated_rows_are_packed_one_by_one(spark, docs_of):
     pieces = packing.pack(docs_of([(1, "same"), (1, "same")]), "doc_id", "text").collect()
     assert len(pieces) == 2 and len({(p["sequence_id"], p["offset"]) for p in pieces}) == 2
@@ -79,7 +83,8 @@ def test_empty_table(spark, docs_of):
 
 def test_what_tiktoken_refuses_goes_to_tokenizers(plain):
     encode = packing.tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
-    for text in ("<|endoftext|> is text", "^" * 20_000, " " * 20_000, "it's"):
+    assert 50256 in encode("x <|endoftext|> y")
+    for text in ("<|endoftext|> is a token", "x <|endoftext|> y", "^" * 20_000, " " * 20_000, "it's"):
         assert list(encode(text)) == plain(text)
 
 

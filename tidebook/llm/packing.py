@@ -47,10 +47,11 @@ PIECES = [
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str):
-    """A function text -> ids by the tokenizers file ``path``, special tokens' strings as ordinary text.
+    """A function text -> ids by the tokenizers file ``path``, as the library gives them without added special tokens.
 
     A file whose ranks are given beside it (same name, .tiktoken) is encoded by tiktoken: equal ids
-    at a third of the time. What tiktoken cannot take (very long runs without a break) goes to tokenizers.
+    at a third of the time. What tiktoken cannot take (very long runs without a break) goes to tokenizers,
+    and so does a text that holds the string of an added token, which the library gives its own id.
     """
     import base64
     import os
@@ -59,7 +60,7 @@ def tokenizer(path: str):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
+    added = [t.content for t in plain.get_added_tokens_decoder().values()]
     by_plain = lambda text: plain.encode(text, add_special_tokens=False).ids
     ranks_path = path.removesuffix(".json") + ".tiktoken"
     if not os.path.exists(ranks_path):
@@ -72,6 +73,8 @@ def tokenizer(path: str):
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(text: str) -> np.ndarray | list[int]:
+        if any(token in text for token in added):
+            return by_plain(text)
         try:
             return fast.encode_to_numpy(text, disallowed_special=())
         except Exception:
