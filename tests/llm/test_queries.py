@@ -54,7 +54,7 @@ def test_digests(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     rel = con.sql(ORACLE[name])
     got = QUERIES[name](spark, SF)

@@ -7,6 +7,17 @@ ORACLE: dict[str, str] = {}
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+ORACLE["op8_warc"] = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+sized AS (
+    SELECT page_id, html, CAST(strlen(html) AS BIGINT) AS payload_bytes, max(page_id) OVER (PARTITION BY html) AS newest FROM payloads
+)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+    CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND page_id <> newest THEN newest END AS refers_to
+FROM sized
+"""
+
 ORACLE["op11_bag_search"] = f"""
 WITH bags AS (
     SELECT doc_id, term, count(*) AS tf
