@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from tidebook.catalog.base import Bound, add
 from tidebook.catalog.oracle import money, money_avg, rate_avg, ratio_avg
 from tidebook.catalog.relational import _CURVE_SQL, _RFM_SQL, _SLICE, _SLICE_SQL
+from tidebook.operators.lookup import LookupTable
 from tidebook.operators.slicing import pivot_explore, slice_customers, slice_orders
 from tidebook.plans import analysis as A
 from tidebook.plans import dashboard as D
 from tidebook.functions.money import RATE
-from tidebook.session import settle
+from tidebook.session import scratch_path, settle
 
 
 def sliced(b: Bound):
@@ -160,6 +161,26 @@ add(
     s.status AS sub_status, s.mrr, value_tier, lifetime_revenue
     FROM stg_orders o JOIN stg_subscriptions s USING (customer_id) JOIN scored USING (customer_id)""",
 )
+
+
+def looked_up(b: Bound):
+    """The lines of the customer worth most, from marts stored for lookups."""
+    tables = []
+    for name in ("fct_orders", "fct_subscriptions", "customer_segments"):
+        tables.append(LookupTable(b.spark, scratch_path(b.spark, f"{name}-by-customer"), slots=16))
+        tables[-1].write(getattr(b.wh, name))
+    best = tables[2].read().orderBy(F.desc("lifetime_revenue"), "customer_id").select("customer_id").first()
+    return D.drill_lookup(best[0] if best else None, *tables)
+
+
+add(
+    "d22_customer_lookup",
+    looked_up,
+    """SELECT customer_id, order_id, order_date, o.status, net_amount, subscription_id, s.plan AS sub_plan,
+    s.status AS sub_status, s.mrr, value_tier, lifetime_revenue
+    FROM stg_orders o JOIN stg_subscriptions s USING (customer_id) JOIN scored USING (customer_id)
+    WHERE customer_id = (SELECT customer_id FROM dim_customers ORDER BY lifetime_revenue DESC, customer_id LIMIT 1)""",
+)
 add(
     "d23_high_value_audit",
     lambda b: D.high_value_audit(b.staged.orders, b.staged.customers),

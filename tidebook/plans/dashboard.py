@@ -16,6 +16,7 @@ from tidebook.functions import (
     ratio_or_null,
     share_of,
 )
+from tidebook.operators.lookup import LookupTable
 from tidebook.plans.marts import priority_totals
 
 # Display orders.
@@ -207,6 +208,11 @@ def drill_through(customer_id: int, facts: DataFrame, subs: DataFrame, segments:
     return drill_lines(facts.where(mine), subs.where(mine), segments.where(mine))
 
 
+def drill_lookup(customer_id: int, facts: LookupTable, subs: LookupTable, segments: LookupTable) -> DataFrame:
+    """:func:`drill_through` on stored tables: a folder of each is opened, whatever the tables weigh."""
+    return drill_lines(facts.of(customer_id), subs.of(customer_id), segments.of(customer_id))
+
+
 def drill_lines(facts: DataFrame, subs: DataFrame, segments: DataFrame) -> DataFrame:
     """:func:`drill_through` for every customer of the inputs at once.
 
