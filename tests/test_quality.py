@@ -94,3 +94,25 @@ def test_gate_and_refusal(broken, rows, spark):
     warned = checks.withColumn("status", F.lit("warn"))
     Q.require_passing(warned)
     assert rows(Q.bounds(spark.createDataFrame([(d("2024-01-01"), 1.2)], "month date, churn_rate double"), "churn_rate", 0.0, 1.0), "churn_rate") == [(1.2,)]
+
+
+def test_row_tests_of_a_table_are_one_scan(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def tell(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([(1, "a", 0.5), (None, "z", 2.0), (None, "z", -1.0), (4, "y", None), (5, None, 0.0)], "id int, kind string, x double")
+    spec = Q.Expect(not_null=["id", "kind", "x"], bounds={"x": (0.0, 1.0)}, accepted={"kind": ["a", "b"], "id": [1, 4, 5]})
+    got = Q.run_checks({"t": df.mapInArrow(tell, df.schema)}, {"t": spec})
+    assert sorted((r["check_name"], r["column_name"], r["failures"], r["status"]) for r in got.collect()) == [
+        ("accepted_values", "id", 0, "pass"),
+        ("accepted_values", "kind", 2, "fail"),
+        ("bounds", "x", 2, "fail"),
+        ("not_null", "id", 2, "fail"),
+        ("not_null", "kind", 1, "fail"),
+        ("not_null", "x", 1, "fail"),
+    ]
+    assert seen.value == 5

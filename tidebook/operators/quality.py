@@ -126,50 +126,26 @@ class Expect:
     bounds: Mapping[str, tuple[float | None, float | None]] = field(default_factory=dict)
 
 
-def _accepted_counts(df: DataFrame, table: str, domains: Mapping[str, Sequence]) -> DataFrame:
-    """Distinct bad values of several columns from one scan; only bad values move."""
-    bad = [
-        F.when(
-            ~F.col(c).isin(list(values)), F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-        )
-        for c, values in domains.items()
-    ]
-    found = (
-        df.select(F.explode(F.array_compact(F.array(*bad))).alias("b"))
-        .select("b.*")
-        .distinct()
-        .groupBy("column_name")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    wanted = df.sparkSession.createDataFrame([(c,) for c in domains], "column_name string")
-    failures = F.coalesce("n", F.lit(0).cast("bigint"))
-    return wanted.join(found, "column_name", "left").select(
-        F.lit("accepted_values").alias("check_name"),
-        F.lit(table).alias("table_name"),
-        "column_name",
-        failures.alias("failures"),
-        F.when(failures == 0, "pass").otherwise("fail").alias("status"),
-    )
-
+def _row_tests(df: DataFrame, table: str, spec: Expect) -> DataFrame:
+    """NULL, range and domain verdicts of a table from one scan; only what fails a test moves.
 
-def _row_counts(df: DataFrame, table: str, spec: Expect) -> DataFrame:
-    """NULL and range violations of a table, all in one aggregate."""
-    tests = [("not_null", c, F.col(c).isNull()) for c in spec.not_null]
-    tests += [("bounds", c, outside(F.col(c), lo, hi)) for c, (lo, hi) in spec.bounds.items()]
-    counts = df.agg(*[F.count_if(test).alias(f"t{i}") for i, (_, _, test) in enumerate(tests)])
-    lines = F.array(
-        *[
-            F.struct(
-                F.lit(kind).alias("check_name"),
-                F.lit(table).alias("table_name"),
-                F.lit(column).alias("column_name"),
-                F.col(f"t{i}").alias("failures"),
-                F.when(F.col(f"t{i}") == 0, "pass").otherwise("fail").alias("status"),
-            )
-            for i, (kind, column, _) in enumerate(tests)
-        ]
-    )
-    return counts.select(F.explode(lines).alias("v")).select("v.*")
+    A row that is NULL or out of range is a failure; of values outside a domain each counts once.
+    """
+    tests = [("not_null", c, F.col(c).isNull(), None) for c in spec.not_null]
+    tests += [("bounds", c, outside(F.col(c), lo, hi), None) for c, (lo, hi) in spec.bounds.items()]
+    tests += [("accepted_values", c, ~F.col(c).isin(list(values)), F.col(c).cast("string")) for c, values in spec.accepted.items()]
+    no_value = F.lit(None).cast("string")
+    failing = [
+        F.when(test, F.struct(F.lit(i).alias("test"), (no_value if value is None else value).alias("value")))
+        for i, (_, _, test, value) in enumerate(tests)
+    ]
+    found = df.select(F.explode(F.array_compact(F.array(*failing))).alias("f")).groupBy("f.test", "f.value").agg(F.count(F.lit(1)).alias("n"))
+    found = found.groupBy("test").agg(F.sum("n").alias("failing_rows"), F.count(F.lit(1)).alias("failing_values"))
+    lines = [(i, kind, table, column, value is not None) for i, (kind, column, _, value) in enumerate(tests)]
+    wanted = df.sparkSession.createDataFrame(lines, "test int, check_name string, table_name string, column_name string, by_value boolean")
+    failures = F.coalesce(F.when(F.col("by_value"), F.col("failing_values")).otherwise(F.col("failing_rows")), F.lit(0).cast("bigint"))
+    verdicts = wanted.join(found, "test", "left").withColumn("failures", failures)
+    return verdicts.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail")).select(*VERDICT)
 
 
 def run_checks(tables: Mapping[str, DataFrame], suite: Mapping[str, Expect]) -> DataFrame:
@@ -177,10 +153,8 @@ def run_checks(tables: Mapping[str, DataFrame], suite: Mapping[str, Expect]) ->
     parts: list[DataFrame] = []
     for table, spec in suite.items():
         df = tables[table]
-        if spec.not_null or spec.bounds:
-            parts.append(_row_counts(df, table, spec))
-        if spec.accepted:
-            parts.append(_accepted_counts(df, table, spec.accepted))
+        if spec.not_null or spec.bounds or spec.accepted:
+            parts.append(_row_tests(df, table, spec))
         for column in spec.unique:
             parts.append(verdict(unique(df, column), "unique", table, column))
         for column, (parent, key) in spec.relationships.items():
