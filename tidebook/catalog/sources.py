@@ -47,18 +47,18 @@ def csv_inferred(b: Bound) -> DataFrame:
 
 
 def json_array_source(b: Bound) -> DataFrame:
-    """One JSON array per file, an array for each day's events."""
+    """One JSON array per file, an array for each month's events."""
     path = scratch_path(b.spark, "events-array")
     rows = bindings.raw_events_nested(b.spark, b.sf_dir)
-    text = rows.select(F.to_json(F.struct(*rows.columns), MICROS).alias("j"), F.to_date("event_ts").alias("day"), "event_id")
-    # Row by row into the day's file: the first opens the array, others follow a comma, the last closes it.
-    in_day = Window.partitionBy("day").orderBy("event_id")
-    mark = F.when(F.row_number().over(in_day) == 1, "[").otherwise(",")
-    last = F.lead("event_id").over(in_day).isNull()
-    lines = text.select("day", "event_id", F.concat(mark, "j").alias("line"), last.alias("last"))
-    lines = lines.select("day", "event_id", F.posexplode(F.when(F.col("last"), F.array("line", F.lit("]"))).otherwise(F.array("line"))))
-    in_order = lines.sortWithinPartitions("day", "event_id", "pos")
-    in_order.select("day", F.col("col").alias("value")).write.partitionBy("day").text(path)
+    text = rows.select(F.to_json(F.struct(*rows.columns), MICROS).alias("j"), F.trunc("event_ts", "month").alias("month"), "event_id")
+    # Row by row into the month's file: the first opens the array, others follow a comma, the last closes it.
+    in_month = Window.partitionBy("month").orderBy("event_id")
+    mark = F.when(F.row_number().over(in_month) == 1, "[").otherwise(",")
+    last = F.lead("event_id").over(in_month).isNull()
+    lines = text.select("month", "event_id", F.concat(mark, "j").alias("line"), last.alias("last"))
+    lines = lines.select("month", "event_id", F.posexplode(F.when(F.col("last"), F.array("line", F.lit("]"))).otherwise(F.array("line"))))
+    in_order = lines.sortWithinPartitions("month", "event_id", "pos")
+    in_order.select("month", F.col("col").alias("value")).write.partitionBy("month").text(path)
     return flatten(read_json_array(b.spark, path, EVENTS_NESTED), "properties")
 
 
