@@ -127,5 +127,31 @@ def test_part_of_a_text_without_id_is_repeated(spark, docs_of, monkeypatch, shar
     assert all(r["n_removed"] >= 250 for r in got)
 
 
+def test_a_worker_holds_a_bounded_part_of_a_batch(docs_of):
+    """A batch of 16 MB of text takes a few MB in a worker, in the search for anchors and in the removal."""
+    import tracemalloc
+
+    import pyarrow as pa
+    from pyspark.sql import types as T
+
+    class Rows:
+        schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("text_hash", T.LongType()), T.StructField("body", T.StringType())])
+
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return run
+
+    n = 4000
+    words = [f"w{i * 7919 % 100_003}" for i in range(700)]
+    texts = [" ".join(words)[:4000] + str(i) for i in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(range(n)), pa.array(texts)], names=["id", "text_hash", "body"])
+    for run in (suffixes.find_anchors(Rows(), suffixes.LENGTH), suffixes.packed(Rows())):
+        next(run(iter([batch.slice(0, 10)])))
+        tracemalloc.start()
+        rows = sum(out.num_rows for out in run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows >= n and peak < 24 << 20
+
+
 def test_empty_table(spark, docs_of):
     assert suffixes.remove_repeats(docs_of([])).count() == 0

@@ -31,15 +31,17 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidebook.llm.bpe import blocks
 from tidebook.llm.common import settle, settle_with, ship
 
 LENGTH, GRAM = 200, 32
-#: Bytes hashed at once (positions take 20 bits of a key).
-BLOCK = 1 << 20
+#: Bytes hashed at once (positions take 18 bits of a key), and bytes of text a worker holds of a batch.
+BLOCK, HELD_BYTES = 1 << 18, 1 << 20
 #: Contexts sorted at once, and bounds of a task's fair share of one gram's.
 SORTED, SHARE_LEAST, SHARE_MOST = 30_000, 2_000, 100_000
 
@@ -117,6 +119,14 @@ def pieces(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[in
         yield rows, offsets, parts
 
 
+def portions(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """``batch`` in parts of at most ``HELD_BYTES`` bytes of ``column``; a longer text is alone.
+
+    A worker keeps what it once took, and an executor keeps a worker for every function of a task."""
+    for start, rows in blocks(pc.binary_length(batch.column(column)).fill_null(0).to_pylist(), HELD_BYTES):
+        yield batch.slice(start, rows)
+
+
 def find_anchors(docs: DataFrame, length: int) -> DataFrame:
     """``KEYS`` and ``ANCHOR`` for every anchor of ``docs`` (id, text_hash, body)."""
     schema = T.StructType([docs.schema["id"], docs.schema["text_hash"], *(T.StructField(n, t) for n, t in ANCHOR)])
@@ -124,7 +134,7 @@ def find_anchors(docs: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest as digest
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in portions(whole, "body")):
             texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch.column("body").cast(pa.binary())]
             for rows, offsets, parts in pieces(texts, length):
                 data = b"".join(parts)
@@ -210,7 +220,7 @@ def packed(docs: DataFrame) -> DataFrame:
         import zstandard
 
         press = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in (part for whole in batches for part in portions(whole, "body")):
             data = [press.compress(t.as_buffer() if t.is_valid else b"") for t in batch.column("body").cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(data, pa.binary())], names=schema.names)
 
@@ -371,21 +381,24 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
 
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            out = []
-            for packed_text, spans in zip(batch.column("packed"), batch.column("spans"), strict=True):
+            out, held = [], 0
+            for i, (packed_text, spans) in enumerate(zip(batch.column("packed"), batch.column("spans"), strict=True), 1):
                 data = unpack.decompress(packed_text.as_py())
+                held += len(data)
                 if not spans.is_valid:
                     out.append((len(data), 0, 0, data))
-                    continue
-                start, end = (spans.values.field(n).to_numpy() for n in ("start", "end"))
-                reach = np.maximum.accumulate(end)
-                first = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]])
-                starts, ends = start[first].tolist(), reach[np.r_[first[1:] - 1, len(reach) - 1]].tolist()
-                kept = b"".join(data[a:b] for a, b in zip([0, *ends], [*starts, len(data)], strict=True))
-                out.append((len(data), len(data) - len(kept), len(starts), kept))
-            if out:
-                columns = zip(*out, strict=True)
-                new = [pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.int64(), pa.binary()], strict=True)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(m) for m in mark.values()), *new], names=schema.names)
+                else:
+                    start, end = (spans.values.field(n).to_numpy() for n in ("start", "end"))
+                    reach = np.maximum.accumulate(end)
+                    first = np.flatnonzero(np.r_[True, start[1:] > reach[:-1]])
+                    starts, ends = start[first].tolist(), reach[np.r_[first[1:] - 1, len(reach) - 1]].tolist()
+                    kept = b"".join(data[a:b] for a, b in zip([0, *ends], [*starts, len(data)], strict=True))
+                    out.append((len(data), len(data) - len(kept), len(starts), kept))
+                if held >= HELD_BYTES or i == batch.num_rows:
+                    columns = zip(*out, strict=True)
+                    new = [pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.int64(), pa.binary()], strict=True)]
+                    done = batch.slice(i - len(out), len(out))
+                    yield pa.RecordBatch.from_arrays([*(done.column(m) for m in mark.values()), *new], names=schema.names)
+                    out, held = [], 0
 
     return both.mapInArrow(run, schema)
