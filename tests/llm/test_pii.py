@@ -132,6 +132,17 @@ def test_held_out_precision(spark):
     assert taken[1] > 0 and taken[0] >= 0.9
 
 
+def test_training_takes_every_text(spark, monkeypatch):
+    """Rare matches of a table beyond 50,000 texts all reach trees and thresholds."""
+    summed = []
+    plain = pii.settle
+    monkeypatch.setattr(pii, "settle", lambda df, label: summed.append(plain(df, label)) or summed[-1])
+    n = 60_000
+    text = F.when(F.col("id") % 50 == 0, F.lit("mail a@b.co")).otherwise("none")
+    pii.train(spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text")))
+    assert summed[0].agg(F.sum("times")).first()[0] == n // 50
+
+
 def test_redaction(spark, model):
     rows = [(1, "é a@b.co and 1.2.3.4, ok"), (2, None), (3, ""), (4, "none"), (5, "+1 (632) 555-4827")]
     df = pii.detect(spark.createDataFrame(rows, "doc_id long, text string"), model)

@@ -10,9 +10,8 @@ check but looks like those that pass, is added from that threshold on. Added spa
 a base one, which they may extend, and do not overlap each other: from left to right, each begins
 after the last one taken.
 
-Training uses the candidates of at most about ``TRAINING_TEXTS`` texts, those whose key hashes
-lowest; that bound does not grow with the data. Texts are scanned and scored row by row, without a
-shuffle. Positions are code points. A null or empty text has no spans; a kind without failing or
+Training takes the base matches of every text: one pass sums them by features, and trees and
+thresholds come from those sums. Texts are scanned and scored row by row, without a shuffle. Positions are code points. A null or empty text has no spans; a kind without failing or
 passing examples adds nothing below a score of one half. Repeated rows give repeated results.
 Very long texts: all patterns are possessive or bounded, so time is linear in the text.
 """
@@ -48,9 +47,9 @@ WIDE = [
 CONTEXT = 24
 CUES = r"(?i)(?:tel|fon|phone|call|mobil|fax|mail|card|visa|kart|carte|tarjeta|address|host|server)[^\n]{0,12}$"
 SECRETS = r"(?i)(?:token|key|password|secret|hash|version|license|commit|id)[^\n]{0,8}$"
-#: Boosting: trees, their depth, shrinkage, ridge; values a feature takes; texts trained on; precision asked for.
+#: Boosting: trees, their depth, shrinkage, ridge; values a feature takes; precision asked for.
 TREES, DEPTH, SHRINKAGE, RIDGE = 8, 3, 0.5, 1.0
-LARGEST_VALUE, TRAINING_TEXTS, PRECISION = 40, 50_000, 0.95
+LARGEST_VALUE, PRECISION = 40, 0.95
 PREFIX_BLOCK, NOWHERE = 128, -(1 << 30)
 HELD_OUT = 5
 FEATURES = ("kind", "length", "digits", "letters", "others", "groups", "distinct", "first", "plus", "bracket", "before", "after", "cue", "secret")
@@ -139,9 +138,9 @@ def passes(kind: str, what: Column) -> Column:
     return F.length(digits(what)).between(9, 15)
 
 
-def candidates(text: Column) -> Column:
-    """All proposals of a text: kind (number), start, end, what, left, next, base (from a base
-    pattern), passed."""
+def candidates(text: Column, wide: bool = True) -> Column:
+    """All proposals of a text, or only those of base patterns: kind (number), start, end, what, left,
+    next, base (from a base pattern), passed."""
 
     def of(kind: str, pattern: str, base: bool) -> Column:
         def kept(m: Column) -> Column:
@@ -158,7 +157,7 @@ def candidates(text: Column) -> Column:
 
         return F.transform(matches(text, pattern), kept)
 
-    every = [of(k, p, True) for k, p in BASE.items()] + [of(k, p, False) for k, p in WIDE]
+    every = [of(k, p, True) for k, p in BASE.items()] + [of(k, p, False) for k, p in WIDE if wide]
     nothing = F.filter(of("email", BASE["email"], True), lambda _: F.lit(False))
     # Every pattern needs a digit or an at sign, written out or not.
     return F.when(text.rlike("[0-9@]|(?i)[\\[(] ?at ?[\\])]"), F.concat(*every)).otherwise(F.slice(nothing, 1, 0))
@@ -279,13 +278,10 @@ def calibrated(rows: DataFrame, model: Model) -> list[float]:
     return out
 
 
-def train(df: DataFrame, key: str = "doc_id", text: str = "text", texts: int = TRAINING_TEXTS) -> Model:
-    """Fit trees and thresholds on base candidates of a bounded sample of ``df``."""
-    parts = 1 << 20
-    part = F.pmod(F.xxhash64(key, text), F.lit(parts))
-    n = df.count()
-    some = df.where(part < F.lit(parts * texts // n)) if n > texts else df
-    base = some.select(part.alias("part"), F.explode(F.filter(candidates(F.coalesce(F.col(text), F.lit(""))), lambda c: c["base"])).alias("c"))
+def train(df: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
+    """Fit trees and thresholds on the base candidates of all rows of ``df``."""
+    part = F.pmod(F.xxhash64(key, text), F.lit(1 << 20))
+    base = df.select(part.alias("part"), F.explode(candidates(F.coalesce(F.col(text), F.lit("")), wide=False)).alias("c"))
     seen = base.select((F.col("part") % HELD_OUT == 0).alias("held"), F.col("c.passed").cast("int").alias("passed"), *(v.alias(k) for k, v in features(F.col("c")).items()))
     rows = settle(seen.groupBy("held", "passed", *FEATURES).agg(F.count(F.lit(1)).alias("times")), "pii-training")
     model = Model([], [])
