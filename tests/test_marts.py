@@ -51,6 +51,14 @@ def monthly(wh, rows, *columns):
     return {r[0]: r[1:] for r in rows(wh.kpi_monthly, "month_label", *columns)}
 
 
+def test_what_marts_share_is_written_once(wh, rows):
+    done = wh.settled()
+    for frame in (done.staged.customers, done.staged.subscriptions, done.dim_customers):
+        assert frame.inputFiles()
+    assert rows(done.staged.subscriptions) == rows(wh.staged.subscriptions)
+    assert rows(wh.prepared().fct_subscriptions) == rows(wh.fct_subscriptions)
+
+
 def test_customer_rollup(wh, rows):
     got = {r[0]: r[1:] for r in rows(wh.dim_customers, "customer_id", "lifetime_orders", "lifetime_revenue", "avg_order_value", "mrr", "lifetime_events", "recency_days")}
     assert got[1] == (3, 100.4, 50.2, 49.0, 2, 1)

@@ -9,7 +9,7 @@ from tidebook.catalog.base import Bound, add
 from tidebook.operators.calendar import date_bounds, day_spine
 from tidebook.operators.slicing import filter_domain
 from tidebook.plans.warehouse import MART_NAMES
-from tidebook.session import scratch_path, settle
+from tidebook.session import scratch_path
 from tidebook.sources import (
     bindings,
     export,
@@ -117,7 +117,7 @@ def parquet_sink(b: Bound) -> DataFrame:
 
 def export_formats(b: Bound) -> DataFrame:
     """Rows found in each format's folder after each kind of export."""
-    marts = {name: settle(df, name) for name, df in b.wh.marts.items()}
+    marts = b.wh.settled().marts
     out = None
     for fmt in ("csv", "parquet", "both"):
         root = scratch_path(b.spark, f"export-{fmt}")
@@ -135,7 +135,7 @@ def export_formats(b: Bound) -> DataFrame:
 
 def export_manifest(b: Bound) -> DataFrame:
     root = scratch_path(b.spark, "export")
-    export(b.wh.marts, root, "parquet")
+    export(b.wh.prepared().marts, root, "parquet")
     return read_json_lines(b.spark, f"{root}/_manifest", "table_name string, rows bigint, generated_at_utc timestamp").select(
         "table_name", F.col("rows").alias("row_count"), F.col("generated_at_utc").isNotNull().alias("dated")
     )
